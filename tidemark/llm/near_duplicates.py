@@ -36,6 +36,7 @@ L = 2
 SKETCHES = 24
 SIMILARITY = 0.8
 ROUNDS = 2
+MAX_CELLS = 4_000_000  # larger alignments go row by row
 
 
 # --- sketches ----------------------------------------------------------------------------------------------------
@@ -124,8 +125,7 @@ def _sketch(batch: pa.RecordBatch, _row: int, _part: int) -> pa.RecordBatch:
 def edit_distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     """Edit distance of two sequences, or limit + 1 where it is greater.
 
-    Common ends are cut, a multiset bound rejects early, and the band widens from 8 until the distance fits in it.  In a
-    row, insertions run along the row: they are a running minimum of (value - column).
+    Common ends are cut, a multiset bound rejects early, and the band of diagonals widens until the distance fits in it.
     """
     n = min(len(a), len(b))
     if abs(len(a) - len(b)) > limit:
@@ -150,14 +150,43 @@ def edit_distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     band = max(8, abs(len(a) - len(b)))
     while True:
         band = min(band, limit)
-        d = _banded(a, b, band)
+        d = _diagonals(a, b, band) if len(a) * (2 * band + 1) <= MAX_CELLS else _rows(a, b, band)
         if d <= band or band >= limit:
             return min(d, limit + 1)
-        band *= 3
+        band *= 4
 
 
-def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Edit distance if at most ``band``, else more than it: cells within ``band`` of the diagonal."""
+def _diagonals(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Edit distance if at most ``band``, else band + 1: furthest places reached on each diagonal with 0, 1, ... edits.
+
+    For all cells of the band the next mismatch along the diagonal is laid out first, so a further edit is a few
+    operations on the band's diagonals.
+    """
+    m, n = len(a), len(b)
+    width = 2 * band + 1
+    padded = np.full(max(m, n) + width + 1, -1, np.int64)
+    padded[band : band + n] = b
+    differs = np.lib.stride_tricks.sliding_window_view(padded, width)[:m] != a[:, None]  # [i, k]: a[i] and b[i + k - band]
+    stop = np.full((m + 1, width), m, np.int32)
+    np.copyto(stop[:m], np.arange(m, dtype=np.int32)[:, None], where=differs)
+    stop = np.minimum.accumulate(stop[::-1], axis=0)[::-1]
+    k = np.arange(width)
+    furthest = np.minimum(m, n - (k - band))  # last row of each diagonal
+    reach = np.full(width + 2, -(10**6), np.int64)  # with a border on either side
+    reach[1 + band] = stop[0, band]
+    goal = 1 + band + n - m
+    for d in range(band + 1):
+        if reach[goal] >= m:
+            return d
+        new = np.maximum(np.maximum(reach[1:-1] + 1, reach[2:] + 1), reach[:-2])
+        new = np.minimum(new, furthest)
+        reach[1:-1] = np.where(new >= 0, stop[np.maximum(new, 0), k], -(10**6))
+    return band + 1
+
+
+def _rows(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """As ``_diagonals``, row by row in memory of one band: for very long texts.  In a row, insertions run along the row;
+    they are a running minimum of (value - column)."""
     m, n = len(a), len(b)
     width = 2 * band + 1
     far = np.int32(m + n + 1)
