@@ -35,7 +35,7 @@ K = 5
 L = 2
 SKETCHES = 24
 SIMILARITY = 0.8
-ROUNDS = 2
+ROUNDS = 3
 MAX_CELLS = 4_000_000  # larger alignments go row by row
 
 
@@ -253,6 +253,16 @@ def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) ->
     return both.select("a", "b", "wa", "wb").mapInArrow(check, "a long, b long")
 
 
+def _join_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components after further edges: those of the edges between roots, and the old labels by them."""
+    la, lb = labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    between = edges.join(la, "a", "left").join(lb, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()
+    upper = connected_components(cut(between)).select(F.col("node").alias("root"), F.col("root").alias("above"))
+    moved = labels.join(upper, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+    fresh = upper.join(labels.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("above").alias("root"))
+    return cut(moved.unionByName(fresh))
+
+
 def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Per row: doc_id, class_id, class_size, n_links (verified links of its representative), keep."""
     doc_id = F.col("doc_id").cast("long")
@@ -262,10 +272,10 @@ def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     classes = cut(sketched.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep")))
     with_sketch = sketched.join(classes.select("c1", "c2", F.col("rep").alias("doc_id")), ["c1", "c2", "doc_id"], "left_semi").where(F.col("doc_id") < 2**63 - 1).dropDuplicates(["doc_id"])
     bands = with_sketch.select(F.col("doc_id").alias("rep"), "n_words", F.posexplode("sketch").alias("band", "value")).select("rep", "n_words", F.xxhash64("band", "value").alias("bucket"))
-    found = None
-    labels = None
+    found = labels = None
     for turn in range(rounds):
-        order = F.xxhash64("bucket", "rep", F.lit(turn))
+        # First the same hubs in all buckets, so that a group meets few of them; then each bucket has its own.
+        order = F.xxhash64("rep") if turn == 0 else F.xxhash64("bucket", "rep", F.lit(turn))
         hubs = bands.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "rep", "n_words")).alias("hub"), F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
         hubs = hubs.select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"))
         pairs = bands.join(hubs, "bucket").where(F.col("rep") != F.col("a"))
@@ -278,8 +288,8 @@ def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         if pairs.isEmpty():
             break
         good = cut(verify(pairs, keyed))
-        found = good if found is None else cut(found.unionByName(good).distinct())
-        labels = connected_components(found) if not good.isEmpty() or labels is None else labels
+        found = good if found is None else found.unionByName(good)
+        labels = connected_components(good) if labels is None else _join_components(labels, good)
     members = sketched.select("doc_id", "c1", "c2").join(classes, ["c1", "c2"])
     if found is None:
         rooted, links = members.withColumn("class_id", F.col("rep")), None
