@@ -205,23 +205,24 @@ def list_array(flat: pa.Array, sizes: np.ndarray) -> pa.Array:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, root): the least node of each component, for the nodes of the edges.
 
-    Rounds of "take the least label around, then the label of the label", each a few equi-joins with partial
-    aggregation, until nothing changes.  Star-shaped inputs need two or three rounds.
+    Each round points every node at its least neighbour or itself (an aggregation of the edges), shortens the pointers
+    once, and contracts the edges along them.  A node's pointer is an edge, so what is connected stays connected until
+    no edge is left; star-shaped inputs shrink to next to nothing in the first round.
     """
-    both = cut(
-        edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(
-            edges.where(F.col(a) != F.col(b)).select(F.col(b).alias("x"), F.col(a).alias("y"))
-        ).distinct()
-    )
-    labels = cut(both.groupBy("x").agg(F.least(F.first("x"), F.min("y")).alias("root")).select(F.col("x").alias("node"), "root"))
+    e = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where(F.col("a") < F.col("b")).distinct()
+    e, roots = cut(e), None
     for _ in range(max_rounds):
-        around = both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("root").alias("near"))
-        nearer = labels.join(around, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
-        up = nearer.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        jumped = nearer.join(up, "root", "left").select("node", "was", F.least("root", F.coalesce("above", "root")).alias("root"))
-        new = cut(jumped)
-        changed = new.where(F.col("was") != F.col("root")).limit(1).count()
-        labels = new.select("node", "root")
-        if not changed:
-            return labels
+        both = e.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p")).select("p.*")
+        near = both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("to"))
+        up = near.select(F.col("node").alias("to"), F.col("to").alias("above"))
+        near = cut(near.join(up, "to", "left").select("node", F.coalesce("above", "to").alias("to")))
+        if roots is None:
+            roots = near.withColumnRenamed("to", "root")
+        else:
+            roots = cut(roots.join(near.select(F.col("node").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+        of_a, of_b = near.select(F.col("node").alias("a"), F.col("to").alias("ra")), near.select(F.col("node").alias("b"), F.col("to").alias("rb"))
+        left = e.join(of_a, "a").join(of_b, "b").where(F.col("ra") != F.col("rb"))
+        e = cut(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        if e.isEmpty():
+            return roots
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
