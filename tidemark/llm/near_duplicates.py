@@ -235,10 +235,8 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return arrow_map(chosen, [F.col("rep"), F.col("text")], each, "rep long, words binary").dropDuplicates(["rep"])
 
 
-def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) of representatives whose texts are similar."""
-    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    words = write_shared(_words_of(docs, ids))
+def verify(pairs: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) of representatives whose texts, given as (rep, words), are similar."""
     both = pairs.join(words.select(F.col("rep").alias("b"), F.col("words").alias("wb")), "b").join(
         words.select(F.col("rep").alias("a"), F.col("words").alias("wa")), "a"
     )
@@ -272,24 +270,32 @@ def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     classes = cut(sketched.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep")))
     with_sketch = sketched.join(classes.select("c1", "c2", F.col("rep").alias("doc_id")), ["c1", "c2", "doc_id"], "left_semi").where(F.col("doc_id") < 2**63 - 1).dropDuplicates(["doc_id"])
     bands = with_sketch.select(F.col("doc_id").alias("rep"), "n_words", F.posexplode("sketch").alias("band", "value")).select("rep", "n_words", F.xxhash64("band", "value").alias("bucket"))
+    # Buckets of two or more, once for all rounds.  At first hubs are the same in all buckets, so that the members of a
+    # group meet few of them; later each bucket has its own.
+    hub = F.min(F.struct(F.xxhash64("rep").alias("o"), "rep", "n_words")).alias("hub")
+    several = bands.groupBy("bucket").agg(hub, F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"))
+    shared = write_shared(bands.join(several, "bucket"))
+    words = write_shared(_words_of(keyed, shared.select("rep").distinct()))
     found = labels = None
     for turn in range(rounds):
-        # First the same hubs in all buckets, so that a group meets few of them; then each bucket has its own.
-        order = F.xxhash64("rep") if turn == 0 else F.xxhash64("bucket", "rep", F.lit(turn))
-        hubs = bands.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "rep", "n_words")).alias("hub"), F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
-        hubs = hubs.select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"))
-        pairs = bands.join(hubs, "bucket").where(F.col("rep") != F.col("a"))
+        if labels is None:
+            pairs = shared.where(F.col("rep") != F.col("a"))
+        else:  # only buckets that hold several components, and only members that are not in the hub's
+            member = shared.drop("a", "na").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+            hub = F.min(F.struct(F.xxhash64("bucket", "rep", F.lit(turn)).alias("o"), "rep", "n_words", "root")).alias("hub")
+            hubs = member.groupBy("bucket").agg(hub, F.min("root").alias("r1"), F.max("root").alias("r2")).where(F.col("r1") < F.col("r2"))
+            hubs = hubs.select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"), F.col("hub.root").alias("ra"))
+            pairs = member.join(hubs, "bucket").where(F.col("root") != F.col("ra"))
         short, long_ = F.least("n_words", "na"), F.greatest("n_words", "na")
-        pairs = pairs.where(short >= SIMILARITY * long_ - 1e-9).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-        if labels is not None:  # pairs that are in one component already need no comparison
-            la, lb = labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-            pairs = pairs.join(la, "a", "left").join(lb, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-        pairs = cut(pairs)
+        pairs = cut(pairs.where(short >= SIMILARITY * long_ - 1e-9).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct())
         if pairs.isEmpty():
             break
-        good = cut(verify(pairs, keyed))
+        good = cut(verify(pairs, words))
         found = good if found is None else found.unionByName(good)
-        labels = connected_components(good) if labels is None else _join_components(labels, good)
+        if not good.isEmpty():
+            labels = connected_components(good) if labels is None else _join_components(labels, good)
+        elif labels is None:
+            labels = good.select(F.col("a").alias("node"), F.col("b").alias("root"))
     members = sketched.select("doc_id", "c1", "c2").join(classes, ["c1", "c2"])
     if found is None:
         rooted, links = members.withColumn("class_id", F.col("rep")), None
