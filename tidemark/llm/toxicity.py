@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Words, arrow_map, crc_mod, mix
 
-MAX_PER_CLASS = 3000
+MAX_PER_CLASS = 2500
 MIN_DOCUMENTS = 4  # toxic documents of the sample that must have a feature
 THRESHOLD = 0.7
 PREFIXES = (4, 5)
@@ -80,25 +80,53 @@ def learn(texts: list[str], labels: np.ndarray) -> Model:
     labels = np.asarray(labels)
     if not len(texts) or labels.min() == labels.max():
         return Model(np.empty(0, np.uint64), np.empty(0), -50.0)
-    keys, sentence, doc_of_sentence, n = [], [], [], 0
-    for i in range(0, len(texts), 256):
-        w, k, s, first = _features_of(pa.array(texts[i : i + 256], pa.string()))
-        keys.append(k)
-        sentence.append(s + n)
-        doc_of_sentence.append(w.doc_of_word()[first] + i)
-        n += len(first)
-    keys, sentence, doc = np.concatenate(keys), np.concatenate(sentence), np.concatenate(doc_of_sentence)
     y = labels.astype(float)
     positive, negative = y.sum(), (1 - y).sum()
-    names, feature = np.unique(keys, return_inverse=True)
-    pair = np.unique(feature.astype(np.int64) * len(texts) + doc[sentence])
-    in_positive = np.bincount(pair // len(texts), y[pair % len(texts)], minlength=len(names))
-    in_negative = np.bincount(pair // len(texts), minlength=len(names)) - in_positive
+
+    def parts(size: int = 64):
+        """(first text, features, sentence of each, text of each sentence) of a few texts at a time, to keep memory low."""
+        for i in range(0, len(texts), size):
+            w, k, s, first = _features_of(pa.array(texts[i : i + size], pa.string()))
+            yield i, k, s, w.doc_of_word()[first] + i
+
+    def once_a_text(k, s, d):
+        """Features of each text, each once, with the texts."""
+        order = np.lexsort((d[s], k))
+        k, t = k[order], d[s][order]
+        new = np.append(True, (k[1:] != k[:-1]) | (t[1:] != t[:-1])) if len(k) else np.empty(0, bool)
+        return k[new], t[new]
+
+    # Screening: features of enough toxic texts, then those much more frequent in toxic texts than in others.
+    found = []
+    for _, k, s, d in parts():
+        k, t = once_a_text(k, s, d)
+        found.append(k[y[t] > 0])
+    names, in_positive = np.unique(np.concatenate(found), return_counts=True)
+    del found
+    names, in_positive = names[in_positive >= MIN_DOCUMENTS], in_positive[in_positive >= MIN_DOCUMENTS]
+
+    def places(k):
+        """(which of ``k`` are names, their places)."""
+        if not len(names):
+            return np.zeros(len(k), bool), np.empty(0, np.int64)
+        at = np.minimum(np.searchsorted(names, k), len(names) - 1)
+        hit = names[at] == k
+        return hit, at[hit]
+
+    in_negative = np.zeros(len(names))
+    for _, k, s, d in parts():
+        k, t = once_a_text(k, s, d)
+        in_negative += np.bincount(places(k[y[t] == 0])[1], minlength=len(names))
     odds = ((in_positive + 0.5) / (positive + 1)) / ((in_negative + 0.5) / (negative + 1))
-    screened = (in_positive >= MIN_DOCUMENTS) & (odds >= MIN_ODDS)
-    keep = screened[feature]
-    new = np.cumsum(screened) - 1
-    feature, sentence, names = new[feature[keep]], sentence[keep], names[screened]
+    names = names[odds >= MIN_ODDS]
+    feature, sentence, doc, n = [], [], [], 0
+    for _, k, s, d in parts():
+        hit, at = places(k)
+        feature.append(at)
+        sentence.append(s[hit] + n)
+        doc.append(d)
+        n += len(d)
+    feature, sentence, doc = np.concatenate(feature), np.concatenate(sentence), np.concatenate(doc)
     both = np.unique(feature.astype(np.int64) * n + sentence)  # a feature counts once a sentence
     feature, sentence = both // n, both % n
     # Sentences without a feature all have the bias as their logit; they are only counted.
