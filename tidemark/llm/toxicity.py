@@ -79,7 +79,7 @@ def learn(texts: list[str], labels: np.ndarray) -> Model:
     """Fit by full-batch Adagrad on the noisy-or likelihood, with soft thresholding of the weights."""
     labels = np.asarray(labels)
     if not len(texts) or labels.min() == labels.max():
-        return Model(np.empty(0, np.uint64), np.empty(0), -50.0)
+        return Model(np.empty(0, np.uint64), np.empty(0), -np.inf)
     y = labels.astype(float)
     positive, negative = y.sum(), (1 - y).sum()
 
