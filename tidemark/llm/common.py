@@ -206,7 +206,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     """(node, root): the least node of each component, for the nodes of the edges.
 
     Each round points every node at its least neighbour or itself (an aggregation of the edges), shortens the pointers
-    once, and contracts the edges along them.  A node's pointer is an edge, so what is connected stays connected until
+    to their ends, and contracts the edges along them.  A node's pointer is an edge, so what is connected stays connected until
     no edge is left; star-shaped inputs shrink to next to nothing in the first round.
     """
     e = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where(F.col("a") < F.col("b")).distinct()
@@ -214,8 +214,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         both = e.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p")).select("p.*")
         near = both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("to"))
-        up = near.select(F.col("node").alias("to"), F.col("to").alias("above"))
-        near = cut(near.join(up, "to", "left").select("node", F.coalesce("above", "to").alias("to")))
+        near = cut(near)
+        while True:  # shorten pointers to their ends, doubling each time, so that chains fold at once
+            up = near.select(F.col("node").alias("to"), F.col("to").alias("above"))
+            jumped = cut(near.join(up, "to", "left").select("node", "to", F.coalesce("above", "to").alias("end")))
+            moved = not jumped.where(F.col("end") != F.col("to")).isEmpty()
+            near = jumped.select("node", F.col("end").alias("to"))
+            if not moved:
+                break
         if roots is None:
             roots = near.withColumnRenamed("to", "root")
         else:
