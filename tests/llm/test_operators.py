@@ -71,6 +71,13 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}
 
 
+def test_components_of_a_long_path_in_random_order(spark):
+    ids = list(range(3000))
+    random.Random(1).shuffle(ids)
+    got = connected_components(spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "a long, b long"))
+    assert got.count() == 3000 and got.where("root <> 0").count() == 0
+
+
 # --- quality -----------------------------------------------------------------------------------------------------
 
 

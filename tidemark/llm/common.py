@@ -49,9 +49,9 @@ def write_shared(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_shared(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
+def drop_shared(spark: SparkSession, only: list[str] | None = None) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in [p for p in _written if p not in keep]:
+    for path in [p for p in _written if only is None or p in only]:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
         _written.remove(path)
@@ -208,27 +208,44 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     Each round points every node at its least neighbour or itself (an aggregation of the edges), shortens the pointers
     to their ends, and contracts the edges along them.  A node's pointer is an edge, so what is connected stays connected until
     no edge is left; star-shaped inputs shrink to next to nothing in the first round.
+
+    Each step is written as a table rather than checkpointed: a checkpoint inherits the planner's size estimate, that of
+    a join is the product of its sides', and it would double its digits with every step.
     """
+    spark, made = edges.sparkSession, []
+
+    def put(df: DataFrame) -> DataFrame:
+        out = write_shared(df)
+        made.append(_written[-1])
+        return out
+
+    def drop_but(*used: str) -> None:
+        drop_shared(spark, [p for p in made if p not in used])
+        made[:] = used
+
     e = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where(F.col("a") < F.col("b")).distinct()
-    e, roots = cut(e), None
+    e, roots, of_roots = put(e), None, ()
     for _ in range(max_rounds):
         both = e.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p")).select("p.*")
         near = both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("to"))
-        near = cut(near)
+        near = put(near)
         while True:  # shorten pointers to their ends, doubling each time, so that chains fold at once
             up = near.select(F.col("node").alias("to"), F.col("to").alias("above"))
-            jumped = cut(near.join(up, "to", "left").select("node", "to", F.coalesce("above", "to").alias("end")))
+            jumped = put(near.join(up, "to", "left").select("node", "to", F.coalesce("above", "to").alias("end")))
             moved = not jumped.where(F.col("end") != F.col("to")).isEmpty()
             near = jumped.select("node", F.col("end").alias("to"))
             if not moved:
                 break
         if roots is None:
-            roots = near.withColumnRenamed("to", "root")
+            roots, of_roots = near.withColumnRenamed("to", "root"), (made[-1],)
         else:
-            roots = cut(roots.join(near.select(F.col("node").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+            roots = put(roots.join(near.select(F.col("node").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+            of_roots = (made[-1],)
         of_a, of_b = near.select(F.col("node").alias("a"), F.col("to").alias("ra")), near.select(F.col("node").alias("b"), F.col("to").alias("rb"))
         left = e.join(of_a, "a").join(of_b, "b").where(F.col("ra") != F.col("rb"))
-        e = cut(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        e = put(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
         if e.isEmpty():
+            drop_but(*of_roots)
             return roots
+        drop_but(*of_roots, made[-1])
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
