@@ -8,10 +8,12 @@ word edit distance, computed in a band, is at most (1 - ``SIMILARITY``) of the l
 Work is kept near linear in the rows, for groups of any size:
 
 - texts with equal words are one class representative from the start, by partial aggregation;
-- a bucket (texts that share a sketch) compares its members with one hub rather than with each other.  Each bucket has
-  its own hub, chosen by a hash; members that are not yet in the hub's component are compared with further hubs in
-  further rounds, so a member that misses one hub meets others, in this bucket and in the many others that similar texts
-  share;
+- a bucket (texts that share a sketch) compares its members with one hub rather than with each other; then, in buckets
+  of at most ``SMALL`` texts, all pairs that the links so far do not connect.  That is at most ``SMALL`` rows a member, and
+  no pair that shares such a bucket is left out;
+- larger buckets that are still of several components compare their members with ``HUBS`` further hubs, then are cut by
+  each other: members of the same two of them meet in a smaller bucket, whose pairs are all compared where it has at most
+  ``SMALL`` texts.  Pairs that meet only in larger ones than that rest on the hubs alone;
 - words travel as 32-bit hashes, and only those of texts in candidate pairs.
 
 Defined results: a null text is a class of its own; texts without words are one class where they are equal byte for
@@ -35,7 +37,8 @@ K = 5
 L = 2
 SKETCHES = 24
 SIMILARITY = 0.8
-ROUNDS = 3
+HUBS = 2
+SMALL = 64  # at most so many texts of a bucket are all compared with each other
 MAX_CELLS = 4_000_000  # larger alignments go row by row
 
 
@@ -261,7 +264,36 @@ def _join_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return cut(moved.unionByName(fresh))
 
 
-def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, rep, n_words, root) of the buckets whose members are of several components."""
+    member = rows.select("bucket", "rep", "n_words").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    span = member.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where(F.col("r1") < F.col("r2"))
+    return member.join(span.select("bucket"), "bucket", "left_semi")
+
+
+def _with_hubs(member: DataFrame, turn: int) -> DataFrame:
+    """Members that are not in the component of their bucket's hub, with it: (rep, n_words, a, na)."""
+    hub = F.min(F.struct(F.xxhash64("bucket", "rep", F.lit(turn)).alias("o"), "rep", "n_words", "root")).alias("hub")
+    hubs = member.groupBy("bucket").agg(hub).select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"), F.col("hub.root").alias("ra"))
+    return member.join(hubs, "bucket").where(F.col("root") != F.col("ra"))
+
+
+def _all_pairs(member: DataFrame) -> DataFrame:
+    """Pairs of members of different components, of buckets of bounded size: (rep, n_words, a, na)."""
+    other = member.select("bucket", F.col("rep").alias("a"), F.col("n_words").alias("na"), F.col("root").alias("ra"))
+    return member.join(other, "bucket").where((F.col("a") < F.col("rep")) & (F.col("root") != F.col("ra")))
+
+
+def _crossings(member: DataFrame, small: int) -> DataFrame:
+    """(bucket, rep, n_words): for each two of a text's buckets, one of those who share both; those of at most ``small``."""
+    own = member.groupBy("rep", "n_words").agg(F.sort_array(F.collect_list("bucket")).alias("x"))  # at most SKETCHES each
+    two = own.select("rep", "n_words", "x", F.posexplode("x").alias("i", "first")).select("rep", "n_words", "first", F.explode(F.slice("x", F.col("i") + 2, SKETCHES)).alias("second"))
+    crossed = two.select("rep", "n_words", F.xxhash64("first", "second").alias("bucket"))
+    fit = crossed.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k").between(2, small))
+    return crossed.join(fit.select("bucket"), "bucket", "left_semi")
+
+
+def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
     """Per row: doc_id, class_id, class_size, n_links (verified links of its representative), keep."""
     doc_id = F.col("doc_id").cast("long")
     # A null id is kept as the greatest key and never is a representative that others are compared with.
@@ -270,32 +302,36 @@ def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     classes = cut(sketched.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep")))
     with_sketch = sketched.join(classes.select("c1", "c2", F.col("rep").alias("doc_id")), ["c1", "c2", "doc_id"], "left_semi").where(F.col("doc_id") < 2**63 - 1).dropDuplicates(["doc_id"])
     bands = with_sketch.select(F.col("doc_id").alias("rep"), "n_words", F.posexplode("sketch").alias("band", "value")).select("rep", "n_words", F.xxhash64("band", "value").alias("bucket"))
-    # Buckets of two or more, once for all rounds.  At first hubs are the same in all buckets, so that the members of a
+    # Buckets of two or more, once for all steps.  At first hubs are the same in all buckets, so that the members of a
     # group meet few of them; later each bucket has its own.
     hub = F.min(F.struct(F.xxhash64("rep").alias("o"), "rep", "n_words")).alias("hub")
-    several = bands.groupBy("bucket").agg(hub, F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"))
+    several = bands.groupBy("bucket").agg(hub, F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("bucket", "k", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"))
     shared = write_shared(bands.join(several, "bucket"))
     words = write_shared(_words_of(keyed, shared.select("rep").distinct()))
-    found = labels = None
-    for turn in range(rounds):
-        if labels is None:
+    found = labels = tried = None
+    for step in range(3 + HUBS):
+        large = shared.where(F.col("k") > small)
+        if step == 0:
             pairs = shared.where(F.col("rep") != F.col("a"))
-        else:  # only buckets that hold several components, and only members that are not in the hub's
-            member = shared.drop("a", "na").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-            hub = F.min(F.struct(F.xxhash64("bucket", "rep", F.lit(turn)).alias("o"), "rep", "n_words", "root")).alias("hub")
-            hubs = member.groupBy("bucket").agg(hub, F.min("root").alias("r1"), F.max("root").alias("r2")).where(F.col("r1") < F.col("r2"))
-            hubs = hubs.select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"), F.col("hub.root").alias("ra"))
-            pairs = member.join(hubs, "bucket").where(F.col("root") != F.col("ra"))
-        short, long_ = F.least("n_words", "na"), F.greatest("n_words", "na")
-        pairs = cut(pairs.where(short >= SIMILARITY * long_ - 1e-9).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct())
-        if pairs.isEmpty():
+        elif step == 1:
+            pairs = _all_pairs(_mixed(shared.where(F.col("k").between(3, small)), labels))
+        elif step < 2 + HUBS:
+            pairs = _with_hubs(_mixed(large, labels), step)
+        else:
+            pairs = _all_pairs(_mixed(_crossings(_mixed(large, labels), small), labels))
+        pairs = pairs.where(F.least("n_words", "na") >= SIMILARITY * F.greatest("n_words", "na") - 1e-9)
+        pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
+        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            good = cut(verify(pairs, words))
+            found = good if found is None else found.unionByName(good)
+            if labels is None:
+                labels = connected_components(good)
+            elif not good.isEmpty():
+                labels = _join_components(labels, good)
+        elif step == 0:
             break
-        good = cut(verify(pairs, words))
-        found = good if found is None else found.unionByName(good)
-        if not good.isEmpty():
-            labels = connected_components(good) if labels is None else _join_components(labels, good)
-        elif labels is None:
-            labels = good.select(F.col("a").alias("node"), F.col("b").alias("root"))
     members = sketched.select("doc_id", "c1", "c2").join(classes, ["c1", "c2"])
     if found is None:
         rooted, links = members.withColumn("class_id", F.col("rep")), None
