@@ -356,6 +356,38 @@ def test_near_duplicates(spark, odd, empty):
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == {None, 1, 4, 5, 6, 7, 9, 10, 11, 12, 13, 15, 16}
 
 
+def test_near_duplicates_lose_no_link_of_a_small_bucket(spark):
+    rng = random.Random(12)
+    passage = prose(90, rng).split()
+    rows = []
+    for g in range(18):
+        w = passage[:60] + prose(60, rng).split() if g % 2 else passage + prose(25, rng).split()
+        rows += [(g * 3 + k, " ".join(edit(w, rng, 0.07 * k)), "en", "a") for k in range(3)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["doc_id", "text"])
+    made = near_duplicates._sketch(batch, 0, 0).to_pydict()
+    sketch = [set(enumerate(x)) for x in made["sketch"]]
+    words = [r[1].lower().split() for r in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            longer = max(len(words[i]), len(words[j]))
+            if sketch[i] & sketch[j] and distance(words[i], words[j]) <= int(0.2 * longer + 1e-9):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    want = {r[0]: top(i) for i, r in enumerate(rows)}
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs_of(spark, rows)).collect()}
+    assert len(set(want.values())) < len(rows) and got == want
+    # Where hubs and crossed buckets decide, classes are never joined wrongly.
+    part = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs_of(spark, rows), small=4).collect()}
+    assert all(want[c] == want[d] for d, c in part.items())
+
+
 # --- toxicity ----------------------------------------------------------------------------------------------------
 
 

@@ -12,8 +12,8 @@ Work is kept near linear in the rows, for groups of any size:
   of at most ``SMALL`` texts, all pairs that the links so far do not connect.  That is at most ``SMALL`` rows a member, and
   no pair that shares such a bucket is left out;
 - larger buckets that are still of several components compare their members with ``HUBS`` further hubs, then are cut by
-  each other: members of the same two of them meet in a smaller bucket, whose pairs are all compared where it has at most
-  ``SMALL`` texts.  Pairs that meet only in larger ones than that rest on the hubs alone;
+  each other: members of the same two of them, next to each other in a fixed order of buckets, meet in a smaller one,
+  whose pairs are all compared where it has at most ``SMALL`` texts.  Pairs that meet only in larger ones than that rest on the hubs alone;
 - words travel as 32-bit hashes, and only those of texts in candidate pairs.
 
 Defined results: a null text is a class of its own; texts without words are one class where they are equal byte for
@@ -285,9 +285,10 @@ def _all_pairs(member: DataFrame) -> DataFrame:
 
 
 def _crossings(member: DataFrame, small: int) -> DataFrame:
-    """(bucket, rep, n_words): for each two of a text's buckets, one of those who share both; those of at most ``small``."""
+    """(bucket, rep, n_words): for each two of a text's buckets that follow each other in their common order, one of
+    those who share both; those of at most ``small``.  All twos would be up to 276 rows a text, not 23."""
     own = member.groupBy("rep", "n_words").agg(F.sort_array(F.collect_list("bucket")).alias("x"))  # at most SKETCHES each
-    two = own.select("rep", "n_words", "x", F.posexplode("x").alias("i", "first")).select("rep", "n_words", "first", F.explode(F.slice("x", F.col("i") + 2, SKETCHES)).alias("second"))
+    two = own.select("rep", "n_words", F.explode(F.zip_with(F.slice("x", 1, F.size("x") - 1), F.slice("x", 2, SKETCHES), lambda p, q: F.struct(p.alias("first"), q.alias("second")))).alias("p")).select("rep", "n_words", "p.*")
     crossed = two.select("rep", "n_words", F.xxhash64("first", "second").alias("bucket"))
     fit = crossed.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k").between(2, small))
     return crossed.join(fit.select("bucket"), "bucket", "left_semi")
