@@ -258,10 +258,10 @@ def _join_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Components after further edges: those of the edges between roots, and the old labels by them."""
     la, lb = labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
     between = edges.join(la, "a", "left").join(lb, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()
-    upper = connected_components(cut(between)).select(F.col("node").alias("root"), F.col("root").alias("above"))
+    upper = connected_components(between).select(F.col("node").alias("root"), F.col("root").alias("above"))
     moved = labels.join(upper, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
     fresh = upper.join(labels.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("above").alias("root"))
-    return cut(moved.unionByName(fresh))
+    return write_shared(moved.unionByName(fresh))
 
 
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -275,13 +275,13 @@ def _with_hubs(member: DataFrame, turn: int) -> DataFrame:
     """Members that are not in the component of their bucket's hub, with it: (rep, n_words, a, na)."""
     hub = F.min(F.struct(F.xxhash64("bucket", "rep", F.lit(turn)).alias("o"), "rep", "n_words", "root")).alias("hub")
     hubs = member.groupBy("bucket").agg(hub).select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"), F.col("hub.root").alias("ra"))
-    return member.join(hubs, "bucket").where(F.col("root") != F.col("ra"))
+    return member.join(hubs, "bucket").where(F.col("root") != F.col("ra")).select("rep", "n_words", "a", "na")
 
 
 def _all_pairs(member: DataFrame) -> DataFrame:
     """Pairs of members of different components, of buckets of bounded size: (rep, n_words, a, na)."""
     other = member.select("bucket", F.col("rep").alias("a"), F.col("n_words").alias("na"), F.col("root").alias("ra"))
-    return member.join(other, "bucket").where((F.col("a") < F.col("rep")) & (F.col("root") != F.col("ra")))
+    return member.join(other, "bucket").where((F.col("a") < F.col("rep")) & (F.col("root") != F.col("ra"))).select("rep", "n_words", "a", "na")
 
 
 def _crossings(member: DataFrame, small: int) -> DataFrame:
@@ -310,22 +310,23 @@ def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
     shared = write_shared(bands.join(several, "bucket"))
     words = write_shared(_words_of(keyed, shared.select("rep").distinct()))
     found = labels = tried = None
-    for step in range(3 + HUBS):
+    for step in range(2 + HUBS):
+        # Each step is written as tables: checkpoints inherit size estimates, which joins multiply step by step.
         large = shared.where(F.col("k") > small)
         if step == 0:
-            pairs = shared.where(F.col("rep") != F.col("a"))
-        elif step == 1:
-            pairs = _all_pairs(_mixed(shared.where(F.col("k").between(3, small)), labels))
-        elif step < 2 + HUBS:
+            pairs = shared.where(F.col("rep") != F.col("a")).select("rep", "n_words", "a", "na")
+        elif step <= HUBS:
             pairs = _with_hubs(_mixed(large, labels), step)
+            if step == 1:
+                pairs = pairs.unionByName(_all_pairs(_mixed(shared.where(F.col("k").between(3, small)), labels)))
         else:
             pairs = _all_pairs(_mixed(_crossings(_mixed(large, labels), small), labels))
         pairs = pairs.where(F.least("n_words", "na") >= SIMILARITY * F.greatest("n_words", "na") - 1e-9)
         pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        pairs = write_shared(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             tried = pairs if tried is None else tried.unionByName(pairs)
-            good = cut(verify(pairs, words))
+            good = write_shared(verify(pairs, words))
             found = good if found is None else found.unionByName(good)
             if labels is None:
                 labels = connected_components(good)
