@@ -264,17 +264,22 @@ def _join_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return write_shared(moved.unionByName(fresh))
 
 
-def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, rep, n_words, root) of the buckets whose members are of several components."""
-    member = rows.select("bucket", "rep", "n_words").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    span = member.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where(F.col("r1") < F.col("r2"))
+def _with_roots(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.select("bucket", "rep", "n_words").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+
+
+def _mixed(member: DataFrame, small: int | None = None) -> DataFrame:
+    """The members of buckets that are of several components, and of at most ``small`` members where that is given."""
+    span = member.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("k")).where(F.col("r1") < F.col("r2"))
+    span = span if small is None else span.where(F.col("k") <= small)
     return member.join(span.select("bucket"), "bucket", "left_semi")
 
 
 def _with_hubs(member: DataFrame, turn: int) -> DataFrame:
     """Members that are not in the component of their bucket's hub, with it: (rep, n_words, a, na)."""
     hub = F.min(F.struct(F.xxhash64("bucket", "rep", F.lit(turn)).alias("o"), "rep", "n_words", "root")).alias("hub")
-    hubs = member.groupBy("bucket").agg(hub).select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"), F.col("hub.root").alias("ra"))
+    hubs = member.groupBy("bucket").agg(hub, F.min("root").alias("r1"), F.max("root").alias("r2")).where(F.col("r1") < F.col("r2"))
+    hubs = hubs.select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"), F.col("hub.root").alias("ra"))
     return member.join(hubs, "bucket").where(F.col("root") != F.col("ra")).select("rep", "n_words", "a", "na")
 
 
@@ -284,14 +289,12 @@ def _all_pairs(member: DataFrame) -> DataFrame:
     return member.join(other, "bucket").where((F.col("a") < F.col("rep")) & (F.col("root") != F.col("ra"))).select("rep", "n_words", "a", "na")
 
 
-def _crossings(member: DataFrame, small: int) -> DataFrame:
-    """(bucket, rep, n_words): for each two of a text's buckets that follow each other in their common order, one of
-    those who share both; those of at most ``small``.  All twos would be up to 276 rows a text, not 23."""
-    own = member.groupBy("rep", "n_words").agg(F.sort_array(F.collect_list("bucket")).alias("x"))  # at most SKETCHES each
-    two = own.select("rep", "n_words", F.explode(F.zip_with(F.slice("x", 1, F.size("x") - 1), F.slice("x", 2, SKETCHES), lambda p, q: F.struct(p.alias("first"), q.alias("second")))).alias("p")).select("rep", "n_words", "p.*")
-    crossed = two.select("rep", "n_words", F.xxhash64("first", "second").alias("bucket"))
-    fit = crossed.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k").between(2, small))
-    return crossed.join(fit.select("bucket"), "bucket", "left_semi")
+def _crossings(member: DataFrame) -> DataFrame:
+    """(bucket, rep, n_words, root): for each two of a text's buckets that follow each other in their common order, one
+    of those who share both.  All twos would be up to 276 rows a text, not 23."""
+    own = member.groupBy("rep", "n_words", "root").agg(F.sort_array(F.collect_list("bucket")).alias("x"))  # at most SKETCHES each
+    two = F.zip_with(F.slice("x", 1, F.size("x") - 1), F.slice("x", 2, SKETCHES), lambda p, q: F.xxhash64(p, q))
+    return own.select("rep", "n_words", "root", F.explode(two).alias("bucket"))
 
 
 def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
@@ -316,11 +319,11 @@ def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
         if step == 0:
             pairs = shared.where(F.col("rep") != F.col("a")).select("rep", "n_words", "a", "na")
         elif step <= HUBS:
-            pairs = _with_hubs(_mixed(large, labels), step)
+            pairs = _with_hubs(_with_roots(large, labels), step)
             if step == 1:
-                pairs = pairs.unionByName(_all_pairs(_mixed(shared.where(F.col("k").between(3, small)), labels)))
+                pairs = pairs.unionByName(_all_pairs(_mixed(_with_roots(shared.where(F.col("k").between(3, small)), labels))))
         else:
-            pairs = _all_pairs(_mixed(_crossings(_mixed(large, labels), small), labels))
+            pairs = _all_pairs(_mixed(_crossings(_mixed(_with_roots(large, labels))), small))
         pairs = pairs.where(F.least("n_words", "na") >= SIMILARITY * F.greatest("n_words", "na") - 1e-9)
         pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
         pairs = write_shared(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
