@@ -452,6 +452,21 @@ def test_repeated_passages_recall(spark):
     assert sum(n > 1 for n in seen.values()) <= 20
 
 
+def test_repeated_passages_of_frequent_short_lines(spark):
+    rng = random.Random(21)
+    rows, want = [], set()
+    for g in range(60):
+        lines = [prose(rng.randrange(22, 36), rng) for _ in range(3)]
+        for k, line in enumerate(lines):
+            rows.append((g * 3 + k, "\n".join([prose(40, rng), line, prose(40, rng)]), "en", "a"))
+        for k in range(2):
+            rows.append((1000 + g * 2 + k, "\n".join([prose(40, rng), *lines[: 2 + g % 2], prose(40, rng)]), "en", "a"))
+        if sum(len(x.split()) for x in lines[: 2 + g % 2]) >= 50:
+            want |= {1000 + g * 2, 1001 + g * 2}
+    got = {r["doc_id"]: r["keep"] for r in substring_dedup.repeated_passages(docs_of(spark, rows)).collect()}
+    assert len(want) > 80 and set(got) == want and all(got[i] == (i % 2 == 0) for i in want)
+
+
 # --- the pipeline ------------------------------------------------------------------------------------------------
 
 
