@@ -388,6 +388,22 @@ def test_near_duplicates_lose_no_link_of_a_small_bucket(spark):
     assert all(want[c] == want[d] for d, c in part.items())
 
 
+def test_near_duplicates_lose_no_link_of_a_large_bucket(spark):
+    # 90 pairs of texts share a passage, and with it large buckets; the other words of a pair differ by scattered edits.
+    rng = random.Random(31)
+    passage, rows, want = prose(60, rng).split(), [], {}
+    for g in range(90):
+        rest = prose(30, rng).split()
+        for k in range(2):
+            words = [rng.choice(VOCAB) if k and i % 4 == 0 else x for i, x in enumerate(rest)]
+            rows.append((g * 2 + k, " ".join(passage + words), "en", "a"))
+            want[g * 2 + k] = g * 2
+    docs = docs_of(spark, rows)
+    for more in ({}, {"block": 40}):
+        got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs, **more).collect()}
+        assert got == want
+
+
 # --- toxicity ----------------------------------------------------------------------------------------------------
 
 

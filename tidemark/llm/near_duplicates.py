@@ -11,9 +11,10 @@ Work is kept near linear in the rows, for groups of any size:
 - a bucket (texts that share a sketch) compares its members with one hub rather than with each other; then, in buckets
   of at most ``SMALL`` texts, all pairs that the links so far do not connect.  That is at most ``SMALL`` rows a member, and
   no pair that shares such a bucket is left out;
-- larger buckets that are still of several components compare their members with ``HUBS`` further hubs, then are cut by
-  each other: members of the same two of them, next to each other in a fixed order of buckets, meet in a smaller one,
-  whose pairs are all compared where it has at most ``SMALL`` texts.  Pairs that meet only in larger ones than that rest on the hubs alone;
+- larger buckets that are still of several components compare their members with ``HUBS`` further hubs.  Of what is then
+  still of several components all pairs across them are compared, block by block: first by two bounds that no link
+  exceeds (lengths, and counts of words by hash in ``BINS`` bins), then what is left by alignment.  So no pair that shares
+  a sketch is left out; the bounds of one large bucket are as many as its pairs, the rows as its pairs by ``BLOCK``;
 - words travel as 32-bit hashes, and only those of texts in candidate pairs.
 
 Defined results: a null text is a class of its own; texts without words are one class where they are equal byte for
@@ -39,6 +40,8 @@ SKETCHES = 24
 SIMILARITY = 0.8
 HUBS = 2
 SMALL = 64  # at most so many texts of a bucket are all compared with each other
+BLOCK = 1024  # members of larger buckets are compared in blocks of about so many
+BINS = 128
 MAX_CELLS = 4_000_000  # larger alignments go row by row
 
 
@@ -268,10 +271,9 @@ def _with_roots(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("bucket", "rep", "n_words").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 
-def _mixed(member: DataFrame, small: int | None = None) -> DataFrame:
-    """The members of buckets that are of several components, and of at most ``small`` members where that is given."""
-    span = member.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("k")).where(F.col("r1") < F.col("r2"))
-    span = span if small is None else span.where(F.col("k") <= small)
+def _mixed(member: DataFrame) -> DataFrame:
+    """The members of buckets that are of several components."""
+    span = member.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where(F.col("r1") < F.col("r2"))
     return member.join(span.select("bucket"), "bucket", "left_semi")
 
 
@@ -289,15 +291,52 @@ def _all_pairs(member: DataFrame) -> DataFrame:
     return member.join(other, "bucket").where((F.col("a") < F.col("rep")) & (F.col("root") != F.col("ra"))).select("rep", "n_words", "a", "na")
 
 
-def _crossings(member: DataFrame) -> DataFrame:
-    """(bucket, rep, n_words, root): for each two of a text's buckets that follow each other in their common order, one
-    of those who share both.  All twos would be up to 276 rows a text, not 23."""
-    own = member.groupBy("rep", "n_words", "root").agg(F.sort_array(F.collect_list("bucket")).alias("x"))  # at most SKETCHES each
-    two = F.zip_with(F.slice("x", 1, F.size("x") - 1), F.slice("x", 2, SKETCHES), lambda p, q: F.xxhash64(p, q))
-    return own.select("rep", "n_words", "root", F.explode(two).alias("bucket"))
+def bag(words: np.ndarray) -> np.ndarray:
+    """Numbers of words by hash, up to 255 each: an edit moves two of them by one at most."""
+    return np.minimum(np.bincount(words & (BINS - 1), minlength=BINS), 255).astype(np.uint8)
 
 
-def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
+def close_pairs(root: np.ndarray, size: np.ndarray, bags: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of different roots that lengths and bags do not exclude; of two blocks only the pairs across them."""
+    order = np.argsort(size, kind="stable")
+    root, size, bags, block = root[order], size[order], bags[order].astype(np.int16), block[order]
+    two = block.min() != block.max()
+    to = np.searchsorted(size, size / SIMILARITY + 1e-6, "right")
+    left, right = [], []
+    for i in range(len(size)):
+        j = np.arange(i + 1, to[i])
+        ok = root[i + 1 : to[i]] != root[i]
+        j = j[ok & (block[i + 1 : to[i]] != block[i])] if two else j[ok]
+        if len(j):
+            j = j[np.abs(bags[j] - bags[i]).sum(1) <= 2 * np.floor((1 - SIMILARITY) * size[j] + 1e-9)]
+            left.append(np.full(len(j), order[i]))
+            right.append(order[j])
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def _block_pairs(member: DataFrame, words: DataFrame, block: int) -> DataFrame:
+    """As ``_all_pairs``, of buckets of any size, without the pairs that lengths or bags exclude."""
+
+    def with_bag(batches):
+        for b in batches:
+            bags = [bag(np.frombuffer(x, np.uint32)).tobytes() for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bags, pa.binary())], ["rep", "bag"])
+
+    def compare(group: pa.Table) -> pa.Table:
+        rep, size, root, at = (group.column(c).to_numpy() for c in ("rep", "n_words", "root", "block"))
+        bags = np.frombuffer(b"".join(group.column("bag").to_pylist()), np.uint8).reshape(len(rep), BINS)
+        i, j = close_pairs(root, size, bags, at)
+        return pa.table({"rep": rep[i], "n_words": size[i], "a": rep[j], "na": size[j]})
+
+    bags = words.join(member.select("rep").distinct(), "rep", "left_semi").select("rep", "words").mapInArrow(with_bag, "rep long, bag binary")
+    blocks = member.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("m"))
+    dealt = member.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
+    met = dealt.join(bags, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    met = met.select("bucket", "rep", "n_words", "root", "block", "bag", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return met.groupBy("bucket", "i", "j").applyInArrow(compare, "rep long, n_words long, a long, na long")
+
+
+def near_duplicates(docs: DataFrame, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """Per row: doc_id, class_id, class_size, n_links (verified links of its representative), keep."""
     doc_id = F.col("doc_id").cast("long")
     # A null id is kept as the greatest key and never is a representative that others are compared with.
@@ -323,7 +362,7 @@ def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
             if step == 1:
                 pairs = pairs.unionByName(_all_pairs(_mixed(_with_roots(shared.where(F.col("k").between(3, small)), labels))))
         else:
-            pairs = _all_pairs(_mixed(_crossings(_mixed(_with_roots(large, labels))), small))
+            pairs = _block_pairs(write_shared(_mixed(_with_roots(large, labels))), words, block)
         pairs = pairs.where(F.least("n_words", "na") >= SIMILARITY * F.greatest("n_words", "na") - 1e-9)
         pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
         pairs = write_shared(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
