@@ -238,10 +238,8 @@ def datetime_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _json_query(kind: str):
-    e = F.col("event_id")
-
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        events = _table(spark, sf_dir, "events")
+        events, e = _table(spark, sf_dir, "events"), F.col("event_id")
         value = {
             "date": jsonfmt.date_json(e - 5000),
             "time": jsonfmt.time_json(e * 8640123 % 86400000000),
