@@ -236,7 +236,7 @@ def test_registered_queries_match_their_sql(spark):
     from tidemark.queries import oracle_sql, queries
 
     con, sf = duckdb.connect(), "/root/testdata/sf0.001"
-    for t in ("events", "customer", "orders"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     for name, sql in oracle_sql().items():
         df = queries()[name](spark, sf)

@@ -48,7 +48,7 @@ def test_name_collisions_and_keys():
     with pytest.raises(ValueError):
         naming.field_mapping(["a b", "a?b"])
     assert naming.staging_location_name("SomeBucket", "ns", "app", 1) == naming.staging_location_name(" gs://somebucket  ", "ns", "app", 1) == "somebucket"
-    assert naming.staging_location_name(None, "ns", "app", 1) == naming.staging_location_name(" ", "ns", "app", 1) == "df-rbq-ns-app-1"
+    assert naming.staging_location_name(None, "ns", "app", 1) == naming.staging_location_name(" ", "ns", "app", 1) == "tidemark-ns-app-1"
     assert naming.retry_delay_seconds(300) == 90 and naming.retry_delay_seconds(10) == 9
     assert naming.job_id("a", "merge", "d", "t", 7, 0) == "a_merge_d_t_7_0"
 
@@ -114,7 +114,7 @@ def test_assessment(spark):
     columns, problems = a.assess("db", "s1", "t", fields, ["field1"])
     assert columns == [("field1", "field1", "STRING", True), ("2f", "_2f", "N/A", False)] and problems == []
     _, problems = a.assess("db", "s2", "t", fields, [])
-    assert [p[0] for p in problems] == ["Duplicate Table Name", "Missing Primary Key"]
+    assert [p[0] for p in problems] == ["table name used twice", "no primary key"]
     _, problems = a.assess("d b", "s", "t?", fields, ["field1"])
-    assert [p[0] for p in problems] == ["Normalizing Database Name", "Normalizing Table Name", "Normalizing Staging Table Name"]
+    assert [p[0] for p in problems] == ["namespace renamed", "table renamed", "staging table renamed"]
     assert a.frames(spark, "x", "s", "u", fields, ["field1"])[0].count() == 2

@@ -137,7 +137,7 @@ def table_key(dataset: str, table: str) -> str:
 
 # Job kinds, and how a derived staging location begins.
 JOB_TYPES = ("stage", "load", "merge")
-DERIVED_LOCATION_PREFIX = "df-rbq"
+DERIVED_LOCATION_PREFIX = "tidemark"
 
 
 def job_id(app: str, job: str, dataset: str, table: str, batch_id: int, attempt: int) -> str:
@@ -160,7 +160,3 @@ def staging_location_name(name: str | None, namespace: str, app: str, generation
         trimmed = trimmed[len("gs://") :]
     return trimmed.lower()
 
-
-def first_keys(keys: list[str], limit: int) -> list[str]:
-    """The first ``limit`` keys; a limit of zero or less disables."""
-    return keys[: max(0, limit)]

@@ -41,10 +41,3 @@ def later(left: Getter, right: Getter, n_sort_keys: int) -> Column:
     lk, rk = sort_keys(left, n_sort_keys), sort_keys(right, n_sort_keys)
     known = lk[0].isNotNull() & rk[0].isNotNull()
     return (known & lexicographic_less(lk, rk)) | ((lk[0].isNull() | rk[0].isNull()) & fallback)
-
-
-def comparable_key(side: Getter, n_sort_keys: int) -> tuple[Column, Column]:
-    """(struct to compare, whether no part of it is null): among such rows struct order equals ``later``."""
-    parts = sort_keys(side, n_sort_keys) if n_sort_keys else [side(SOURCE_TIMESTAMP), side(SEQUENCE_NUM)]
-    full = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
-    return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)]), full

@@ -33,15 +33,15 @@ class Assessor:
                 columns.append((f.name, name, "N/A", False))
         other = self._seen.setdefault((database, table), schema)
         if other != schema:
-            problems.append(("Duplicate Table Name", "error", f"{table} is in the schemas {other} and {schema}"))
+            problems.append(("table name used twice", "error", f"{table} is in the schemas {other} and {schema}"))
         if not primary_keys:
-            problems.append(("Missing Primary Key", "warning", f"{table} needs a primary key to be replicated"))
+            problems.append(("no primary key", "warning", f"{table} needs a primary key to be replicated"))
         wanted = self.dataset or database
         if (got := normalize_dataset_name(wanted)) != wanted:
-            problems.append(("Normalizing Database Name", "warning", f"{wanted} becomes {got}"))
-        for kind, name in (("Table", table), ("Staging Table", f"{self.staging_prefix}{table}")):
+            problems.append(("namespace renamed", "warning", f"{wanted} becomes {got}"))
+        for kind, name in (("table", table), ("staging table", f"{self.staging_prefix}{table}")):
             if (got := normalize_table_name(name)) != name:
-                problems.append((f"Normalizing {kind} Name", "warning", f"{name} becomes {got}"))
+                problems.append((f"{kind} renamed", "warning", f"{name} becomes {got}"))
         return columns, problems
 
     def frames(self, spark: SparkSession, *args) -> tuple[DataFrame, DataFrame]:

@@ -18,6 +18,8 @@ log = logging.getLogger(__name__)
 
 # The kinds of schema-change events.
 KINDS = ("CREATE_DATABASE", "DROP_DATABASE", "CREATE_TABLE", "DROP_TABLE", "ALTER_TABLE", "RENAME_TABLE", "TRUNCATE_TABLE")
+#: Those that change what earlier events have made: all events before them are applied first.
+FLUSHING = ("DROP_TABLE", "ALTER_TABLE", "TRUNCATE_TABLE")
 MAX_CLUSTERING = 4
 
 
@@ -32,6 +34,7 @@ class DdlEvent:
     table: str | None = None
     schema: T.StructType | None = None
     primary_keys: tuple[str, ...] = ()
+    is_snapshot: bool = False
 
 
 @dataclass
@@ -55,7 +58,7 @@ class DdlHandler:
     def spec(self, event: DdlEvent) -> TableSpec:
         mapping = field_mapping(event.schema.names, self.flexible_names)
         fields = [T.StructField(mapping[f.name], f.dataType, f.nullable) for f in event.schema.fields]
-        return TableSpec(T.StructType(fields), tuple(mapping[k] for k in event.primary_keys))
+        return TableSpec(T.StructType(fields), tuple(mapping[k] for k in event.primary_keys), source_names=tuple(event.schema.names))
 
     def keys_of(self, db: str, table: str) -> tuple[str, ...]:
         """Cached primary keys, reloaded from the manifest."""

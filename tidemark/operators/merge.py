@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.naming import quote
 from tidemark.functions.ordering import later
 from tidemark.plans.envelope import (
     BEFORE_PREFIX,
@@ -71,16 +72,16 @@ def merge(
         target = target.withColumn(c, F.lit(None).cast(events.schema[c].dataType))
     schema = target.schema
 
-    payload = F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys([*listed, OPERATION])])
-    keyed = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in theirs])
+    payload = F.struct(*[F.col(quote(c)) for c in dict.fromkeys([*listed, OPERATION])])
+    keyed = reduce(lambda a, b: a & b, [F.col(quote(k)).isNotNull() for k in theirs])
     names = [f"__k{i}" for i in range(len(theirs))]
     grouped = (
         events.where(keyed)
-        .groupBy(*[F.col(f"`{k}`").cast(schema[o].dataType).alias(n) for k, o, n in zip(theirs, own, names, strict=True)])
+        .groupBy(*[F.col(quote(k)).cast(schema[o].dataType).alias(n) for k, o, n in zip(theirs, own, names, strict=True)])
         .agg(F.collect_list(payload).alias("__events"))
     )
     t = target.withColumn("__t", F.lit(True))
-    on = reduce(lambda a, b: a & b, [t[f"`{o}`"] == grouped[n] for o, n in zip(own, names, strict=True)])
+    on = reduce(lambda a, b: a & b, [t[quote(o)] == grouped[n] for o, n in zip(own, names, strict=True)])
     joined = t.join(grouped, on, "full_outer")
     of_target = _matched(joined.where(F.col("__t")), schema, listed, source, n_sort_keys)
     unmatched = joined.where(F.col("__t").isNull()).select(F.explode("__events").alias("__e"))
@@ -106,7 +107,7 @@ def _matched(rows: DataFrame, schema: T.StructType, listed: list[str], source: S
     takes = fires & ~deletes if source.ordered else fires
     out = []
     for f in schema.fields:
-        old = F.col(f"`{f.name}`")
+        old = F.col(quote(f.name))
         if f.name == IS_DELETED:
             new = F.when(fires & deletes, F.lit(True)).when(fires, F.lit(None).cast("boolean")).otherwise(old)
         elif f.name in listed:

@@ -37,6 +37,7 @@ class TableSpec:
     schema: T.StructType
     primary_keys: tuple[str, ...]
     sort_types: tuple[T.DataType, ...] = field(default=())
+    source_names: tuple[str, ...] = ()  # the columns' names at the source, where they differ
 
     @property
     def columns(self) -> list[str]:

@@ -6,6 +6,10 @@ INSERT, error a DELETE, anything else an UPDATE.  The target is seeded from the
 
 from __future__ import annotations
 
+import json
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,13 +18,18 @@ from tidemark.functions import jsonfmt, naming
 from tidemark.functions.types import from_spark
 from tidemark.operators import sequence
 from tidemark.operators.assess import Assessor
+from tidemark.operators.ddl import DdlEvent, DdlHandler
 from tidemark.operators.diff import batch_filter, diff
 from tidemark.operators.merge import add_sort_column
-from tidemark.plans.apply import append_snapshot, apply_events, live_rows
+from tidemark.plans.apply import TableApplier, append_snapshot, apply_events, live_rows
 from tidemark.plans.envelope import IS_DELETED, SEQUENCE_NUM, SORT, SourceProperties, TableSpec, sort_type, stage
+from tidemark.sources.files import scratch_dir
+from tidemark.sources.store import Store
+from tidemark.streaming.consumer import ENVELOPE, Consumer
 
 ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("kind", T.StringType())])
 SORTS = (T.LongType(), T.LongType())
+ASSESSED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "labels")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +40,7 @@ def _spec(source: SourceProperties) -> TableSpec:
     return TableSpec(ROW, ("id",), () if source.ordered else SORTS)
 
 
-def envelope(spark: SparkSession, sf_dir: str, key_changes: bool = False, null_keys: bool = False) -> DataFrame:
+def envelope(spark: SparkSession, sf_dir: str, key_changes: bool = False, null_keys: bool = False, row_ids: bool = False) -> DataFrame:
     """The change stream as envelope rows."""
     e, t = F.col("event_id"), F.col("event_type")
     op = F.when(t == "signup", "INSERT").when(t == "error", "DELETE").otherwise("UPDATE")
@@ -42,7 +51,7 @@ def envelope(spark: SparkSession, sf_dir: str, key_changes: bool = False, null_k
     return _table(spark, sf_dir, "events").select(
         F.lit("shop").alias("db"), F.lit("public").alias("schema"), F.lit("users").alias("tbl"), op.alias("op"),
         (e % 2 == 0).alias("is_snapshot"), (e + 1).alias("seq"), ((e * 7919) % 100003).alias("source_ts"),
-        F.when(e % 97 != 0, F.col("user_id").cast("string")).alias("row_id"),
+        F.when(F.lit(row_ids) | (e % 97 != 0), F.col("user_id").cast("string")).alias("row_id"),
         F.struct(key0.alias("_key_0"), e.alias("_key_1")).alias("sort"),
         row.alias("row"), F.when(op == "UPDATE", prev).alias("prev"), e.cast("string").alias("offset"),
     )
@@ -82,13 +91,14 @@ def _diff_sql(source: SourceProperties) -> str:
         SELECT id, value, kind, op, seq FROM s a WHERE NOT EXISTS (SELECT 1 FROM s b WHERE {same} AND {after})"""
 
 
-def seeded_target(spark: SparkSession, sf_dir: str, source: SourceProperties) -> DataFrame:
-    """Latest row of each user in the first half of the stream, for two users of three; some are soft-deleted."""
+def seeded_target(spark: SparkSession, sf_dir: str, source: SourceProperties, every: bool = False) -> DataFrame:
+    """Latest row of each user in the first half of the stream, some soft-deleted.  Every third user is new to the target
+    (unless ``every``), so that a merge has rows to insert."""
     e = F.col("event_id")
     events = _table(spark, sf_dir, "events")
     half = events.agg((F.max("event_id") / 2).cast("long").alias("half"))
     last = F.max(F.struct("event_id", "value", F.col("event_type").alias("kind"))).alias("x")
-    t = events.crossJoin(F.broadcast(half)).where((e <= F.col("half")) & (F.col("user_id") % 3 != 0)).groupBy("user_id").agg(last)
+    t = events.crossJoin(F.broadcast(half)).where((e <= F.col("half")) & (F.lit(every) | (F.col("user_id") % 3 != 0))).groupBy("user_id").agg(last)
     x = F.col("x")
     cols = [
         F.col("user_id").alias("id"), x["value"].alias("value"), x["kind"].alias("kind"), (x["event_id"] + 1).alias(SEQUENCE_NUM),
@@ -101,6 +111,25 @@ def seeded_target(spark: SparkSession, sf_dir: str, source: SourceProperties) ->
     return t.select(*cols)
 
 
+def full_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest row of every user over all events; some are soft-deleted."""
+    last = F.max(F.struct("event_id", "value", F.col("event_type").alias("kind"))).alias("x")
+    t = _table(spark, sf_dir, "events").groupBy("user_id").agg(last)
+    return t.select(
+        F.col("user_id").alias("id"), "x.value", "x.kind", (F.col("x.event_id") + 1).alias(SEQUENCE_NUM),
+        F.when(F.col("user_id") % 5 == 0, True).alias(IS_DELETED), F.col("user_id").cast("string").alias("_row_id"),
+        ((F.col("x.event_id") * 7919) % 100003).alias("_source_timestamp"),
+    )
+
+
+def _half(spark: SparkSession, sf_dir: str) -> int:
+    return _table(spark, sf_dir, "events").agg((F.max("event_id") / 2).cast("long")).first()[0] or 0
+
+
+def _store(spark: SparkSession) -> Store:
+    return Store(spark, f"{scratch_dir(spark)}/store-{uuid.uuid4().hex}")
+
+
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = envelope(spark, sf_dir)
     half = _table(spark, sf_dir, "events").agg((F.max("event_id") / 2).cast("long").alias("half"))
@@ -115,7 +144,7 @@ def _merge_query(source: SourceProperties):
     return run
 
 
-def _merge_sql(source: SourceProperties) -> str:
+def _merge_sql(source: SourceProperties, add_sort: bool = False) -> str:
     same = "a.row_id = b.row_id" if source.row_id else "a.id = b.before_id"
     match = "t.row_id = d.row_id" if source.row_id else "t.id = d.before_id"
     after = "a.seq < b.seq" if source.ordered else _LATER.format(l="a", r="b")
@@ -130,23 +159,23 @@ def _merge_sql(source: SourceProperties) -> str:
     def col(c: str) -> str:
         return f"CASE WHEN NOT in_t OR ({takes}) THEN d_{c} ELSE t_{c} END AS {c}"
 
-    where = "in_t OR op <> 'DELETE'" if source.ordered else "TRUE"
+    where = "(in_t OR op <> 'DELETE')" if source.ordered else "TRUE"
     where += "" if soft else " AND NOT (in_t AND fired AND op = 'DELETE')"
-    where = f"({where})" if soft else f"(in_t OR op <> 'DELETE') AND NOT (in_t AND fired AND op = 'DELETE')"
+    deleted = "CASE WHEN NOT in_t OR fired THEN CASE WHEN op = 'DELETE' THEN TRUE END ELSE t_del END AS is_deleted"
+    rest = f"{col('key_0')}, {col('key_1')}" if add_sort else f"{col('kind')}, {col('seq')}, {deleted}"
+    target_keys = "CAST(NULL AS BIGINT) AS k0, CAST(NULL AS BIGINT) AS k1" if add_sort else "CASE WHEN e.user_id % 4 = 0 THEN NULL ELSE e.event_id % 7 END AS k0, e.event_id AS k1"
     return f"""WITH s0 AS ({_staged_sql(False, False)}), half AS (SELECT CAST(floor(max(event_id) / 2) AS BIGINT) AS h FROM events),
     s AS (SELECT s0.* FROM s0, half WHERE seq - 1 > h),
     d AS (SELECT * FROM s a WHERE NOT EXISTS (SELECT 1 FROM s b WHERE {same} AND {after})),
-    last AS (SELECT user_id, max(event_id) AS event_id FROM events, half WHERE event_id <= h AND user_id % 3 <> 0 GROUP BY user_id),
+    last AS (SELECT user_id, max(event_id) AS event_id FROM events, half WHERE event_id <= h{'' if add_sort else ' AND user_id % 3 <> 0'} GROUP BY user_id),
     t AS (SELECT e.user_id AS id, value, event_type AS kind, e.event_id + 1 AS seq, CASE WHEN e.user_id % 5 = 0 THEN TRUE END AS is_deleted,
         CAST(e.user_id AS VARCHAR) AS row_id, (e.event_id * 7919) % 100003 AS ts,
-        CASE WHEN e.user_id % 4 = 0 THEN NULL ELSE e.event_id % 7 END AS k0, e.event_id AS k1, TRUE AS in_t
+        {target_keys}, TRUE AS in_t
         FROM events e JOIN last l ON e.event_id = l.event_id),
-    j AS (SELECT t.id AS t_id, t.value AS t_value, t.kind AS t_kind, t.seq AS t_seq, t.is_deleted AS t_del, coalesce(in_t, FALSE) AS in_t,
+    j AS (SELECT t.id AS t_id, t.value AS t_value, t.kind AS t_kind, t.seq AS t_seq, t.is_deleted AS t_del, coalesce(in_t, FALSE) AS in_t, t.k0 AS t_key_0, t.k1 AS t_key_1, d.k0 AS d_key_0, d.k1 AS d_key_1,
         d.id AS d_id, d.value AS d_value, d.kind AS d_kind, d.seq AS d_seq, d.op, (in_t AND d.seq IS NOT NULL AND {guard}) IS TRUE AS fired
         FROM t FULL OUTER JOIN d ON {match})
-    SELECT {col('id')}, {col('value')}, {col('kind')}, {col('seq')},
-        CASE WHEN NOT in_t THEN CASE WHEN op = 'DELETE' THEN TRUE END WHEN fired THEN CASE WHEN op = 'DELETE' THEN TRUE END ELSE t_del END AS is_deleted
-    FROM j WHERE {where}"""
+    SELECT {col('id')}, {col('value')}, {rest} FROM j WHERE {where}"""
 
 
 _SOURCES = {
@@ -161,13 +190,13 @@ _SOURCES = {
 
 def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = SourceProperties(row_id=True)
-    t = append_snapshot(seeded_target(spark, sf_dir, source), envelope(spark, sf_dir).where("is_snapshot"), _spec(source), source)
+    t = append_snapshot(full_target(spark, sf_dir), envelope(spark, sf_dir).where("is_snapshot"), _spec(source), source)
     return t.select("id", "value", F.col(SEQUENCE_NUM).alias("seq"), F.col(IS_DELETED).alias("is_deleted"))
 
 
-_TARGET_SQL = """t AS (SELECT e.user_id AS id, e.value, e.event_type AS kind, e.event_id + 1 AS seq, CASE WHEN e.user_id % 5 = 0 THEN TRUE END AS is_deleted
-    FROM events e JOIN (SELECT user_id, max(event_id) AS event_id FROM events WHERE event_id <= (SELECT CAST(floor(max(event_id) / 2) AS BIGINT) FROM events)
-    AND user_id % 3 <> 0 GROUP BY user_id) l ON e.event_id = l.event_id)"""
+_FULL_SQL = """t AS (SELECT e.user_id AS id, e.value, e.event_type AS kind, e.event_id + 1 AS seq, CASE WHEN e.user_id % 5 = 0 THEN TRUE END AS is_deleted
+    FROM events e JOIN (SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id) l ON e.event_id = l.event_id)"""
+_HALF_SQL = "(SELECT CAST(floor(max(event_id) / 2) AS BIGINT) FROM events)"
 
 
 def seq_max(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,31 +290,85 @@ def json_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def add_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = add_sort_column(seeded_target(spark, sf_dir, SourceProperties()), sort_type(SORTS))
-    return t.select("id", F.col("_sort")["_key_0"].alias("key_0"), F.col("_sort").isNull().alias("sort_is_null"))
+    """A merge into a table that has no sort column yet: rows that no event changes get a null one."""
+    source = SourceProperties(row_id=True, ordered=False)
+    target = seeded_target(spark, sf_dir, source, every=True).drop(SORT)
+    out = apply_events(add_sort_column(target, sort_type(SORTS)), _batch(spark, sf_dir), _spec(source), source)
+    return out.select("id", "value", F.col("_sort")["_key_0"].alias("key_0"), F.col("_sort")["_key_1"].alias("key_1"))
 
 
 def alter_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.sources.store import align
-
-    t = seeded_target(spark, sf_dir, SourceProperties())
-    wide = T.StructType([*t.schema.fields, T.StructField("age", T.LongType(), True)])
-    new = t.where("id % 2 = 0").withColumn("age", F.col("id") * 2)
-    return align(t, wide).unionByName(align(new, wide)).select("id", "value", "age")
+    """A stored table, loaded from the first half of the stream; a column is added; the second half is merged."""
+    store, source, half = _store(spark), SourceProperties(row_id=True), _half(spark, sf_dir)
+    handler = DdlHandler(store, source)
+    handler.handle(DdlEvent("CREATE_TABLE", "shop", "users", ROW, ("id",)))
+    events = envelope(spark, sf_dir, row_ids=True)
+    applier = TableApplier(store, "shop", "users", source)
+    applier.snapshot(_last(events.where(F.col("seq") - 1 <= half)), TableSpec(ROW, ("id",)), 1)
+    wide = T.StructType([*ROW.fields, T.StructField("age", T.LongType(), True)])
+    handler.handle(DdlEvent("ALTER_TABLE", "shop", "users", wide, ("id",)))
+    with_age = events.withColumn("row", F.struct("row.*", (F.col("row.id") * 2).alias("age"))).withColumn("op", F.lit("UPDATE"))
+    applier.stream(with_age.where(F.col("seq") - 1 > half), TableSpec(wide, ("id",)), 2)
+    return store.read("shop", "users").select("id", "value", "age")
+
+
+def _last(events: DataFrame) -> DataFrame:
+    """The last event of each row id."""
+    names = events.columns
+    return events.groupBy("row_id").agg(F.max(F.struct("seq", *[c for c in names if c not in ("seq", "row_id")])).alias("x")).select("row_id", "x.*").select(*names)
 
 
 def truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = seeded_target(spark, sf_dir, SourceProperties())
-    return spark.createDataFrame([], t.schema).select("id", "value")
+    """A stored table, loaded from the first half of the stream, truncated, then loaded from the second half."""
+    store, source, half = _store(spark), SourceProperties(row_id=True), _half(spark, sf_dir)
+    handler = DdlHandler(store, source)
+    handler.handle(DdlEvent("CREATE_TABLE", "shop", "users", ROW, ("id",)))
+    events, applier = envelope(spark, sf_dir), TableApplier(store, "shop", "users", source)
+    applier.snapshot(events.where(F.col("seq") - 1 <= half), _spec(source), 1)
+    handler.handle(DdlEvent("TRUNCATE_TABLE", "shop", "users", ROW, ("id",)))
+    applier.snapshot(events.where(F.col("seq") - 1 > half), _spec(source), 2)
+    return store.read("shop", "users").select("id", "value", F.col(SEQUENCE_NUM).alias("seq"))
+
+
+def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two micro-batches through the consumer: the table's creation, a snapshot whose sequence numbers run among those of
+    the streaming events beside it, and then all of it once more, together with the rest of the stream."""
+    quarter = F.floor(F.col("top") / 4)
+    events = envelope(spark, sf_dir, row_ids=True).crossJoin(F.broadcast(_table(spark, sf_dir, "events").agg(F.max("event_id").alias("top"))))
+    events = events.withColumn("q", quarter).withColumn("e", F.col("seq") - 1)
+    shot = _last(events.where(F.col("e") <= 2 * F.col("q"))).withColumn("seq", F.col("seq") + F.col("q")).withColumns({"is_snapshot": F.lit(True), "op": F.lit("INSERT")})
+    rest = events.where(F.col("e") > 2 * F.col("q")).withColumn("is_snapshot", F.lit(False))
+    every = shot.unionByName(rest).withColumns({"row": F.to_json("row"), "prev": F.to_json("prev"), "sort": F.lit(None).cast("string")})
+    body = json.dumps({"schema": ROW.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), "primary_keys": ["id"]})
+    create = spark.createDataFrame([("shop", "public", "users", "CREATE_TABLE", True, 0, 0, None, None, body, None, "0")], ENVELOPE)
+    consumer = Consumer(spark, f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}", SourceProperties(row_id=True))
+    names = ENVELOPE.names
+    first = create.unionByName(every.where((F.col("is_snapshot")) | (F.col("e") <= 3 * F.col("q"))).select(names))
+    consumer.process(first, 0)
+    consumer.process(create.unionByName(every.select(names)), 1)
+    return consumer.store.read("shop", "users").select("id", "value", "kind", F.col(SEQUENCE_NUM).alias("seq"))
 
 
 def assess_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of all plain tables as the target would have them."""
+    assessor, frames = Assessor(), []
+    for name in ASSESSED:
+        frame = assessor.frames(spark, "shop", "public", name, from_spark(_table(spark, sf_dir, name).schema), [])[0]
+        frames.append(frame.withColumn("tbl", F.lit(name)))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def assess_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands against some tables: a name in two schemas, no key, names that must change."""
+    assessor, out = Assessor(), []
     fields = from_spark(_table(spark, sf_dir, "nation").schema)
-    return Assessor().frames(spark, "shop", "public", "nation", fields, ["n_nationkey"])[0]
+    for db, schema, table, keys in (("shop", "a", "nation", ["n_nationkey"]), ("shop", "b", "nation", []), ("web shop", "a", "nation?", ["n_nationkey"])):
+        out.append(assessor.frames(spark, db, schema, table, fields, keys)[1].withColumn("tbl", F.lit(f"{db}.{schema}.{table}")))
+    return reduce(DataFrame.unionByName, out)
 
 
 def live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return live_rows(seeded_target(spark, sf_dir, SourceProperties())).select("id", "value")
+    return live_rows(full_target(spark, sf_dir)).select("id", "value")
 
 
 def queries() -> dict:
@@ -299,7 +382,7 @@ def queries() -> dict:
         "normalize_field_flexible": _naming_query(lambda c: naming.field_name_col(c, True)),
     }
     return out | {f.__name__: f for f in (snapshot_append, seq_max, seq_max_union, replay_gate, op_counts, batch_counts, resolve_dataset,
-                                          ascii_names, datetime_trim, json_record, add_sort, alter_add_column, truncate, assess_columns, live)}
+                                          ascii_names, datetime_trim, json_record, add_sort, alter_add_column, truncate, stream_apply, assess_columns, assess_problems, live)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -327,7 +410,7 @@ def oracle_sql() -> dict[str, str]:
         "normalize_field_flexible": _naming_sql(flexible, 300, True),
         "resolve_dataset": f"SELECT c_custkey, CASE c_custkey % 3 WHEN 1 THEN 'set_name' ELSE regexp_replace(name, '[^A-Za-z0-9_]+', '_', 'g') END AS dataset FROM ({_ODD_SQL})",
         "ascii_names": f"SELECT c_custkey, regexp_full_match(name, '[A-Za-z0-9_]+') AS is_ascii FROM ({_ODD_SQL})",
-        "snapshot_append": f"WITH {_TARGET_SQL} SELECT id, value, seq, is_deleted FROM t UNION ALL SELECT user_id, value, event_id + 1, NULL FROM events WHERE event_id % 2 = 0",
+        "snapshot_append": f"WITH {_FULL_SQL} SELECT id, value, seq, is_deleted FROM t UNION ALL SELECT user_id, value, event_id + 1, NULL FROM events WHERE event_id % 2 = 0",
         "seq_max": "SELECT max(event_id) + 1 AS max_seq FROM events",
         "seq_max_union": "SELECT max(m) AS max_seq FROM (SELECT max(event_id) AS m FROM events UNION ALL SELECT max(o_orderkey) FROM orders UNION ALL SELECT max(c_custkey) FROM customer)",
         "replay_gate": f"SELECT event_id + 1 AS seq, {_OP} AS op, user_id AS id FROM events WHERE event_id + 1 > 1000",
@@ -337,11 +420,22 @@ def oracle_sql() -> dict[str, str]:
             WHEN 1 THEN '2022-04-01T14:31:12.' || lpad(CAST(event_id % 1000000 AS VARCHAR), 6, '0') ELSE '2022-04-01' END AS datetime FROM events""",
         "json_record": """SELECT event_id, '{"event_id":' || event_id || ',"kind":' || CASE WHEN event_id % 2 = 0 THEN '"' || event_type || '"' ELSE 'null' END
             || ',"nested":{"user_id":' || user_id || ',"event_type":"' || event_type || '"}}' AS json_value FROM events""",
-        "add_sort": f"WITH {_TARGET_SQL} SELECT id, CAST(NULL AS BIGINT) AS key_0, TRUE AS sort_is_null FROM t",
-        "alter_add_column": f"WITH {_TARGET_SQL} SELECT id, value, CAST(NULL AS BIGINT) AS age FROM t UNION ALL SELECT id, value, id * 2 FROM t WHERE id % 2 = 0",
-        "truncate": f"WITH {_TARGET_SQL} SELECT id, value FROM t WHERE FALSE",
-        "live": f"WITH {_TARGET_SQL} SELECT id, value FROM t WHERE is_deleted IS NOT TRUE",
-        "assess_columns": """SELECT * FROM (VALUES ('n_nationkey', 'n_nationkey', 'INT64', TRUE), ('n_name', 'n_name', 'STRING', TRUE),
-            ('n_regionkey', 'n_regionkey', 'INT64', TRUE)) AS v("column", target_column, "type", supported)""",
+        "add_sort": _merge_sql(_SOURCES["unordered_rowid"], add_sort=True),
+        "alter_add_column": f"""WITH l AS (SELECT user_id, max(event_id) AS event_id, max(CASE WHEN event_id <= {_HALF_SQL} THEN event_id END) AS before FROM events GROUP BY user_id)
+            SELECT e.user_id AS id, value, CASE WHEN e.event_id > {_HALF_SQL} THEN e.user_id * 2 END AS age FROM events e JOIN l USING (event_id)""",
+        "truncate": f"SELECT user_id AS id, value, event_id + 1 AS seq FROM events WHERE event_id > {_HALF_SQL}",
+        "stream_apply": f"""WITH q AS (SELECT CAST(floor(max(event_id) / 4) AS BIGINT) AS q FROM events),
+            l AS (SELECT user_id, max(event_id) AS late, max(CASE WHEN event_id <= 2 * q THEN event_id END) AS early, any_value(q) AS q FROM events, q GROUP BY user_id)
+            SELECT e.user_id AS id, value, event_type AS kind, event_id + 1 + CASE WHEN late > 2 * q THEN 0 ELSE q END AS seq
+            FROM l JOIN events e ON e.event_id = l.late WHERE late <= 2 * q OR {_OP} <> 'DELETE'""",
+        "live": f"WITH {_FULL_SQL} SELECT id, value FROM t WHERE is_deleted IS NOT TRUE",
+        "assess_columns": f"""SELECT table_name AS tbl, column_name AS "column", column_name AS target_column,
+            CASE regexp_replace(data_type, '\\[\\]$', '') WHEN 'BIGINT' THEN 'INT64' WHEN 'INTEGER' THEN 'INT64' WHEN 'DOUBLE' THEN 'FLOAT64' WHEN 'FLOAT' THEN 'FLOAT64'
+                WHEN 'VARCHAR' THEN 'STRING' WHEN 'TIMESTAMP' THEN 'DATETIME' ELSE 'N/A' END AS "type", TRUE AS supported
+            FROM information_schema.columns WHERE table_name IN ({", ".join(f"'{t}'" for t in ASSESSED)})""",
+        "assess_problems": """SELECT * FROM (VALUES ('shop.b.nation', 'table name used twice', 'error', 'nation is in the schemas a and b'),
+            ('shop.b.nation', 'no primary key', 'warning', 'nation needs a primary key to be replicated'), ('web shop.a.nation?', 'namespace renamed', 'warning', 'web shop becomes web_shop'),
+            ('web shop.a.nation?', 'table renamed', 'warning', 'nation? becomes nation_'),
+            ('web shop.a.nation?', 'staging table renamed', 'warning', '_staging_nation? becomes _staging_nation_')) AS v(tbl, problem, severity, detail)""",
     }
     return out

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.functions.jsonfmt import record_json
 from tidemark.plans.envelope import is_json_format
 
-BASE_FOLDER = "cdap/delta"  # Fixed value: first part of a staging path.
+BASE_FOLDER = "staged/changes"  # first part of a staging path
 STAGING_PREFIX = "_staging_"
 
 
@@ -24,10 +22,6 @@ def staging_table(table: str, prefix: str | None = STAGING_PREFIX) -> str:
     return f"{prefix or STAGING_PREFIX}{table}"
 
 
-def new_batch_id() -> int:
-    return int(time.time() * 1000)
-
-
 def write_staging(df: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Parquet, or JSON lines with explicit nulls."""
     if file_format == "json":
@@ -36,10 +30,13 @@ def write_staging(df: DataFrame, path: str, file_format: str = "parquet") -> Non
         df.write.mode("overwrite").parquet(path)
 
 
-def row_format(schema: T.StructType) -> str:
-    """The format a row-oriented staging file would need, kept for parity."""
-    return "json" if is_json_format(schema) else "avro"
+def staging_format(schema: T.StructType) -> str:
+    """JSON lines where a row-oriented binary file could not hold the batch; else Parquet, in the place of Avro."""
+    return "json" if is_json_format(schema) else "parquet"
 
 
 def read_staging(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet") -> DataFrame:
-    return (spark.read.schema(schema).json if file_format == "json" else spark.read.schema(schema).parquet)(path)
+    if file_format != "json":
+        return spark.read.schema(schema).parquet(path)
+    formats = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "dateFormat": "yyyy-MM-dd"}
+    return spark.read.schema(schema).options(mode="FAILFAST", **formats).json(path)

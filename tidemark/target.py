@@ -11,7 +11,7 @@ from tidemark.operators.assess import Assessor
 from tidemark.operators.sequence import max_existing_sequence
 from tidemark.plans.envelope import SEQUENCE_NUM, SourceProperties
 from tidemark.sources.files import Files
-from tidemark.sources.store import Store
+from tidemark.sources.store import BUCKET_ROWS, Store
 from tidemark.streaming.consumer import DEFAULT_INTERVAL_SECONDS, Consumer
 
 
@@ -30,6 +30,7 @@ class TargetConfig:
     namespace: str = "default"
     app: str = "app"
     generation: int = 0
+    bucket_rows: int = BUCKET_ROWS
 
 
 class Target:
@@ -37,7 +38,7 @@ class Target:
 
     def __init__(self, spark: SparkSession, config: TargetConfig):
         self.spark, self.config = spark, config
-        self.store = Store(spark, config.root)
+        self.store = Store(spark, config.root, bucket_rows=config.bucket_rows)
 
     def initialize(self, tables: list[tuple[str, str]]) -> int:
         """Greatest applied sequence number over the selected tables, to seed the source's numbering."""
@@ -65,6 +66,6 @@ class Target:
         self.staging_location()
         out = Consumer(self.spark, c.root, SourceProperties(row_id, ordered, c.soft_deletes), c.app, c.dataset_name,
                        keep_staging_files=c.retain_staging, require_manual_drops=c.require_manual_drops,
-                       flexible_names=c.allow_flexible_column_naming)
+                       flexible_names=c.allow_flexible_column_naming, load_interval=c.load_interval, store=self.store)
         out.ddl.max_clustering, out.ddl.staging_prefix = c.max_clustering_columns, c.staging_table_prefix
         return out
