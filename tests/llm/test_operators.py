@@ -13,7 +13,7 @@ import pytest
 
 import corpus_pipeline
 from tidemark.llm import bpe, decontamination, language_model, near_duplicates, quality, sharding, substring_dedup, token_counts, tool_calls, toxicity
-from tidemark.llm.common import Words, connected_components
+from tidemark.llm.common import Words, Workspace, connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, words string, bucket int, g string, n int"
 RNG = random.Random(4)
@@ -67,15 +67,17 @@ def test_words_match_a_regular_expression():
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (5, 5)]
-    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    with Workspace(spark) as work:
+        got = {r["node"]: r["root"] for r in connected_components(work, spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}
 
 
 def test_components_of_a_long_path_in_random_order(spark):
     ids = list(range(3000))
     random.Random(1).shuffle(ids)
-    got = connected_components(spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "a long, b long"))
-    assert got.count() == 3000 and got.where("root <> 0").count() == 0
+    with Workspace(spark) as work:
+        got = connected_components(work, spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "a long, b long"))
+        assert got.count() == 3000 and got.where("root <> 0").count() == 0
 
 
 # --- quality -----------------------------------------------------------------------------------------------------
@@ -356,36 +358,71 @@ def test_near_duplicates(spark, odd, empty):
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == {None, 1, 4, 5, 6, 7, 9, 10, 11, 12, 13, 15, 16}
 
 
-def test_near_duplicates_lose_no_link_of_a_small_bucket(spark):
-    rng = random.Random(12)
-    passage = prose(90, rng).split()
-    rows = []
-    for g in range(18):
-        w = passage[:60] + prose(60, rng).split() if g % 2 else passage + prose(25, rng).split()
-        rows += [(g * 3 + k, " ".join(edit(w, rng, 0.07 * k)), "en", "a") for k in range(3)]
-    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["doc_id", "text"])
-    made = near_duplicates._sketch(batch, 0, 0).to_pydict()
-    sketch = [set(enumerate(x)) for x in made["sketch"]]
-    words = [r[1].lower().split() for r in rows]
-    root = list(range(len(rows)))
+def sketches_of(texts):
+    n = len(texts)
+    made = near_duplicates._sketch(pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(texts), pa.array(range(n))], ["doc_id", "text", "text_key"]), 0, 0)
+    return [set(x) for x in made.to_pydict()["sketch"]]
+
+
+def roots(n, links):
+    root = list(range(n))
 
     def top(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i in range(len(rows)):
-        for j in range(i):
-            longer = max(len(words[i]), len(words[j]))
-            if sketch[i] & sketch[j] and distance(words[i], words[j]) <= int(0.2 * longer + 1e-9):
-                a, b = sorted((top(i), top(j)))
-                root[b] = a
-    want = {r[0]: top(i) for i, r in enumerate(rows)}
-    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs_of(spark, rows)).collect()}
-    assert len(set(want.values())) < len(rows) and got == want
-    # Where hubs and crossed buckets decide, classes are never joined wrongly.
-    part = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs_of(spark, rows), small=4).collect()}
-    assert all(want[c] == want[d] for d, c in part.items())
+    for i, j in links:
+        a, b = sorted((top(i), top(j)))
+        root[b] = a
+    return [top(i) for i in range(n)]
+
+
+def similar_words(a, b):
+    return near_duplicates.similar(*(np.array([hash(x) for x in w]) for w in (a, b)))
+
+
+def test_near_duplicates_lose_no_link_of_a_bucket(spark):
+    rng = random.Random(12)
+    passage = prose(90, rng).split()
+    rows = []
+    for g in range(18):
+        w = passage[:60] + prose(60, rng).split() if g % 2 else passage + prose(25, rng).split()
+        rows += [(g * 3 + k, " ".join(edit(w, rng, 0.07 * k)), "en", "a") for k in range(3)]
+    sketch, words = sketches_of([r[1] for r in rows]), [r[1].lower().split() for r in rows]
+    want = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if sketch[i] & sketch[j] and similar_words(words[i], words[j])])
+    docs = docs_of(spark, rows)
+    assert len(set(want)) < len(rows)
+    for more in ({}, {"small": 4, "block": 7}):  # all pairs of buckets; hubs, then blocks
+        got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs, **more).collect()}
+        assert [got[i] for i in range(len(rows))] == want
+
+
+@pytest.mark.parametrize("n", [12, 30, 40, 60, 150, 400])
+def test_recall_of_sketches_against_all_pairs(n):
+    """Pairs that alignment finds to be links, near the bound above all, mostly share a sketch."""
+    rng = random.Random(n)
+    texts, linked = [], 0
+    pairs = []
+    while linked < 150:
+        w = prose(n, rng).split()
+        v = edit(w, rng, rng.choice([0.08, 0.12, 0.15, 0.18]))
+        if w != v and v and similar_words(w, v):
+            pairs.append((len(texts), len(texts) + 1))
+            texts += [" ".join(w), " ".join(v)]
+            linked += 1
+    sketch = sketches_of(texts)
+    assert sum(bool(sketch[i] & sketch[j]) for i, j in pairs) >= 0.9 * len(pairs)
+
+
+def test_near_duplicates_of_rows_that_repeat_an_id(spark):
+    rng = random.Random(77)
+    a, b, c = prose(80, rng), prose(90, rng), prose(30, rng)
+    rows = [(1, a), (2, b), (2, c), (3, c + " x"), (None, a), (5, b + " y"), (None, c + " zz")]
+    docs = docs_of(spark, [(i, t, "en", "a") for i, t in rows])
+    got = sorted((str(r["doc_id"]), r["class_id"], r["class_size"], r["keep"]) for r in near_duplicates.near_duplicates(docs).collect())
+    assert got == [("1", 1, 2, True), ("2", 2, 2, True), ("2", 2, 3, True), ("3", 2, 3, False), ("5", 2, 2, False), ("None", 1, 2, False), ("None", 2, 3, False)]
+    assert sorted(r["text"] for r in near_duplicates.keep_one(docs).collect()) == sorted([a, b, c])
 
 
 def test_near_duplicates_lose_no_link_of_a_large_bucket(spark):
@@ -464,7 +501,7 @@ def test_repeated_passages_recall(spark):
     got = {r["doc_id"] for r in substring_dedup.repeated_passages(docs).collect()}
     assert len(got & holders) >= 0.97 * len(holders) and not got - holders
     left = [words_of(r["text"]) for r in substring_dedup.remove_passages(docs).collect()]
-    seen = collections.Counter(x for w in left for x in {tuple(w[i : i + 50]) for i in range(len(w) - 49)})
+    seen = collections.Counter(x for w in left for x in {tuple(w[i : i + 51]) for i in range(len(w) - 50)})
     assert sum(n > 1 for n in seen.values()) <= 20
 
 
@@ -477,12 +514,21 @@ def test_repeated_passages_of_frequent_short_lines(spark):
             rows.append((g * 3 + k, "\n".join([prose(40, rng), line, prose(40, rng)]), "en", "a"))
         for k in range(2):
             rows.append((1000 + g * 2 + k, "\n".join([prose(40, rng), *lines[: 2 + g % 2], prose(40, rng)]), "en", "a"))
-        if sum(len(x.split()) for x in lines[: 2 + g % 2]) >= 50:
+        if sum(len(x.split()) for x in lines[: 2 + g % 2]) > 50:
             want |= {1000 + g * 2, 1001 + g * 2}
     got = {r["doc_id"]: r["keep"] for r in substring_dedup.repeated_passages(docs_of(spark, rows)).collect()}
     assert len(want) > 80 and set(got) == want and all(got[i] == (i % 2 == 0) for i in want)
 
 
+def test_spans_are_never_cut_out_of_another_text(spark):
+    rng = random.Random(5)
+    passage = prose(80, rng)
+    rows = [(1, prose(30, rng) + " " + passage), (2, passage + " " + prose(20, rng)), (2, "short text"), (2, "short text"), (3, "one two " + passage), (None, passage)]
+    got = sorted(r["text"] for r in substring_dedup.remove_passages(docs_of(spark, [(i, t, "en", "a") for i, t in rows])).collect())
+    left = rows[1][1][len(passage):].split()
+    assert [x.split() for x in got if x.split() == left] == [left] and got.count("short text") == 2 and "one two " in got and rows[0][1] in got and passage in got
+
+
 # --- the pipeline ------------------------------------------------------------------------------------------------
 
 

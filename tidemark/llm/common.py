@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,50 +10,70 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import scratch_dir
+
 BLOCK_BYTES = 1 << 20  # texts are processed in blocks of about this size, or one text at a time
 
 
 # --- shared storage ----------------------------------------------------------------------------------------------
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from the session; a temporary one only where none is set."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = sc._jsc.sc().getCheckpointDir()
-        found = found.get() if found.isDefined() else None
-    if not found:
-        found = tempfile.mkdtemp(prefix="tidemark-")
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(found)
-    return found
+class Workspace:
+    """Intermediate tables of one call, in the folder that driver and executors share.  Writing one cuts the lineage: what
+    lost executors held is read again, not computed again.  (A checkpoint would do the same, but keeps the planner's size
+    estimate, which joins multiply step by step.)
+
+    On leaving, all tables are deleted but those kept, as results that are still to be read; these go when the
+    application ends.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.made = spark, f"{scratch_dir(spark)}/tidemark-{uuid.uuid4().hex}", 0
 
+    def __enter__(self) -> Workspace:
+        return self
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint; its files go when the result is no longer referenced."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    def __exit__(self, *_) -> None:
+        self._delete(self.root)
 
+    def _path(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-_written: list[str] = []
+    def _delete(self, path: str) -> None:
+        fs, p = self._path(path)
+        fs.delete(p, True)
 
+    def _write(self, df: DataFrame, path: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._tidemark_path = path
+        return out
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.made += 1
+        return self._write(df, f"{self.root}/{self.made}")
+
+    def drop(self, *written: DataFrame) -> None:
+        """Delete tables of this workspace before its end."""
+        for df in written:
+            self._delete(df._tidemark_path)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write a result that outlives the workspace."""
+        self.made += 1
+        path = f"{self.root}-kept/{self.made}"
+        out = self._write(df, path)
+        fs, p = self._path(f"{self.root}-kept")
+        fs.deleteOnExit(p)
+        return out
 
-def write_shared(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a Parquet table in the shared folder, which is smaller than a checkpoint for texts and arrays.
-    ``drop_shared`` deletes such tables once the results that read them are written."""
-    path = f"{shared_dir(df.sparkSession)}/tidemark-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _written.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def cut(df):
+    return Workspace(df.sparkSession).keep(df)
 
-def drop_shared(spark: SparkSession, only: list[str] | None = None) -> None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in [p for p in _written if only is None or p in only]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
-        _written.remove(path)
+
+write_shared = cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -202,50 +221,38 @@ def list_array(flat: pa.Array, sizes: np.ndarray) -> pa.Array:
 # --- connected components ----------------------------------------------------------------------------------------
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(work: Workspace, edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, root): the least node of each component, for the nodes of the edges.
 
     Each round points every node at its least neighbour or itself (an aggregation of the edges), shortens the pointers
     to their ends, and contracts the edges along them.  A node's pointer is an edge, so what is connected stays connected until
     no edge is left; star-shaped inputs shrink to next to nothing in the first round.
-
-    Each step is written as a table rather than checkpointed: a checkpoint inherits the planner's size estimate, that of
-    a join is the product of its sides', and it would double its digits with every step.
     """
-    spark, made = edges.sparkSession, []
-
-    def put(df: DataFrame) -> DataFrame:
-        out = write_shared(df)
-        made.append(_written[-1])
-        return out
-
-    def drop_but(*used: str) -> None:
-        drop_shared(spark, [p for p in made if p not in used])
-        made[:] = used
-
     e = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where(F.col("a") < F.col("b")).distinct()
-    e, roots, of_roots = put(e), None, ()
+    e, roots = work.write(e), None
     for _ in range(max_rounds):
         both = e.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p")).select("p.*")
-        near = both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("to"))
-        near = put(near)
+        near = work.write(both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("to")))
         while True:  # shorten pointers to their ends, doubling each time, so that chains fold at once
             up = near.select(F.col("node").alias("to"), F.col("to").alias("above"))
-            jumped = put(near.join(up, "to", "left").select("node", "to", F.coalesce("above", "to").alias("end")))
-            moved = not jumped.where(F.col("end") != F.col("to")).isEmpty()
-            near = jumped.select("node", F.col("end").alias("to"))
+            jumped = work.write(near.join(up, "to", "left").select("node", F.coalesce("above", "to").alias("to"), (F.coalesce("above", "to") != F.col("to")).alias("moved")))
+            moved = not jumped.where("moved").isEmpty()
+            work.drop(near)
+            near = jumped
             if not moved:
                 break
+        to = near.select("node", "to")
         if roots is None:
-            roots, of_roots = near.withColumnRenamed("to", "root"), (made[-1],)
+            new = to.withColumnRenamed("to", "root")
         else:
-            roots = put(roots.join(near.select(F.col("node").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root")))
-            of_roots = (made[-1],)
-        of_a, of_b = near.select(F.col("node").alias("a"), F.col("to").alias("ra")), near.select(F.col("node").alias("b"), F.col("to").alias("rb"))
+            new = roots.join(to.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+        new = work.write(new)
+        of_a, of_b = to.select(F.col("node").alias("a"), F.col("to").alias("ra")), to.select(F.col("node").alias("b"), F.col("to").alias("rb"))
         left = e.join(of_a, "a").join(of_b, "b").where(F.col("ra") != F.col("rb"))
-        e = put(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        left = work.write(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        work.drop(e, near, *([roots] if roots is not None else []))
+        e, roots = left, new
         if e.isEmpty():
-            drop_but(*of_roots)
+            work.drop(e)
             return roots
-        drop_but(*of_roots, made[-1])
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -10,8 +10,12 @@ window, its shingles ordered by rarity in the corpus, is the single rarest shing
 3. positional and length bounds: the window must lie inside the text;
 4. exact verification of all words of the window.
 
+Rows are told apart by a number of their own, and only rows with a candidate shingle take part in the joins.
+
 Defined results: a null or wordless text has no words and no hits; a null or wordless item has no windows; an item
-without an id is ignored; equal items are each reported; rows that repeat a document each get their own result.
+without an id is ignored; equal items are each reported; rows that repeat a document each get their own result; very long
+texts are read whole, one at a time; no documents give no rows, an empty benchmark no hits; other columns are not read,
+and ``drop_contaminated`` keeps them whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, arrow_map, cut, shingle_hashes
+from tidemark.llm.common import Words, Workspace, arrow_map, list_array, shingle_hashes
 
 WINDOW = 10
 SHINGLE = 3
@@ -82,8 +86,21 @@ def _text_shingles(w: Words, h: np.ndarray, sizes: list[int], bits: np.ndarray):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items."""
-    shingles = cut(_item_shingles(benchmark, window))
+    """Per row of ``docs`` (doc_id, text): doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_key."""
+    with Workspace(docs.sparkSession) as work:
+        return work.keep(_decontaminated(work, docs, benchmark, window))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in whose own text no window of an item occurs, all columns kept."""
+    found = decontaminate(docs, benchmark, window).where("contaminated")
+    gone = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))
+    return docs.join(gone, same, "left_anti")
+
+
+def _decontaminated(work: Workspace, docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    shingles = work.write(_item_shingles(benchmark, window))
     sizes = sorted(r[0] for r in shingles.select("k").distinct().collect()) or [SHINGLE]  # at most SHINGLE values
     bloom = _bloom(shingles.select("h"))
 
@@ -103,7 +120,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         .where(F.col("p.df") > 0)
         .select("item_id", "words", "n", F.col("p.offset").alias("offset"), F.col("p.h").alias("h"))
     )
-    windows = cut(windows)
+    windows = work.write(windows)
     prefix = _bloom(windows.select("h"))
 
     def probe(batch: pa.RecordBatch, row: int, part: int):
@@ -127,23 +144,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
             ["h", "pos", "begin", "around"],
         )
         rows = (np.int64(part) << np.int64(40)) + row + np.arange(batch.num_rows)
-        from tidemark.llm.common import list_array
-
-        return pa.RecordBatch.from_arrays([pa.array(rows), batch.column(0), pa.array(w.count.astype(np.int64)), list_array(hits, sizes_)], ["row", "doc_id", "n_words", "hits"])
+        return pa.RecordBatch.from_arrays([pa.array(rows), batch.column(0), batch.column(2), pa.array(w.count.astype(np.int64)), list_array(hits, sizes_)], ["row", "doc_id", "text_key", "n_words", "hits"])
 
-    hit = arrow_map(docs, [F.col("doc_id").cast("long").alias("doc_id"), text], probe,
-                    "row long, doc_id long, n_words long, hits array<struct<h:long,pos:int,begin:int,around:string>>")
-    one = hit.select("row", "doc_id", "n_words", F.explode_outer("hits").alias("x")).select("row", "doc_id", "n_words", "x.*")
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), text, F.xxhash64(F.col("text").cast("string")).alias("text_key")]
+    hit = work.write(arrow_map(docs, columns, probe, "row long, doc_id long, text_key long, n_words long, hits array<struct<h:long,pos:int,begin:int,around:string>>"))
+    one = hit.select("row", "n_words", F.explode("hits").alias("x")).select("row", "n_words", "x.*")
     start = F.col("pos") - F.col("offset")
     inside = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
     exact = F.array_join(F.slice(F.split("around", " "), F.greatest(start - F.col("begin") + 1, F.lit(1)), F.col("n")), " ") == F.col("words")
-    found = one.join(windows, "h", "left").withColumn("ok", F.coalesce(inside & exact, F.lit(False)))
-    per_row = found.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("n_words").alias("n_words"),
-        F.sort_array(F.collect_set(F.when(F.col("ok"), F.struct(start.alias("s"), (start + F.col("n")).alias("e"))))).alias("spans"),
-        F.collect_set(F.when(F.col("ok"), F.col("item_id"))).alias("items"),
+    found = one.join(windows, "h").where(inside & exact).groupBy("row").agg(
+        F.sort_array(F.collect_set(F.struct(start.alias("s"), (start + F.col("n")).alias("e")))).alias("spans"), F.collect_set("item_id").alias("items")
     )
+    none = F.array()
+    per_row = hit.drop("hits").join(found, "row", "left").withColumns({"spans": F.coalesce("spans", none.cast("array<struct<s:int,e:int>>")), "items": F.coalesce("items", none.cast("array<long>"))})
     covered = F.aggregate(
         "spans",
         F.struct(F.lit(0).alias("c"), F.lit(0).alias("e")),
@@ -152,7 +165,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     )
     ids = F.sort_array(F.transform("items", lambda x: x.cast("string")))
     return per_row.select(
-        "doc_id", "n_words", covered.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "doc_id", "text_key", "n_words", covered.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
 

@@ -2,8 +2,10 @@
 
 A text's k-mers (``K`` consecutive words, numbered by occurrence, so that repeats count) are hashed; each of ``SKETCHES``
 sketches takes the ``L`` least and keeps them in text order.  The probability that two texts share a sketch grows with
-their edit similarity, not only with the overlap of their k-mers.  Candidates share a sketch; a pair is a link where the
-word edit distance, computed in a band, is at most (1 - ``SIMILARITY``) of the longer text.
+their edit similarity, not only with the overlap of their k-mers.  Texts of up to ``SHORT`` words, and those that may be
+similar to one, also have sketches of k-mers of ``SHORT_K`` words.  Candidates share a sketch; a pair is a link where the
+word edit distance, computed in a band, is at most (1 - ``SIMILARITY``) of the longer text.  ``SKETCHES`` is chosen for pairs
+near that bound; the README gives the recall measured against all pairs.
 
 Work is kept near linear in the rows, for groups of any size:
 
@@ -12,15 +14,21 @@ Work is kept near linear in the rows, for groups of any size:
   of at most ``SMALL`` texts, all pairs that the links so far do not connect.  That is at most ``SMALL`` rows a member, and
   no pair that shares such a bucket is left out;
 - larger buckets that are still of several components compare their members with ``HUBS`` further hubs.  Of what is then
-  still of several components all pairs across them are compared, block by block: first by two bounds that no link
-  exceeds (lengths, and counts of words by hash in ``BINS`` bins), then what is left by alignment.  So no pair that shares
-  a sketch is left out; the bounds of one large bucket are as many as its pairs, the rows as its pairs by ``BLOCK``;
+  still of several components, the members outside the largest one are compared with all others: both sides are dealt to
+  blocks of about ``BLOCK`` by hash, and each pair of blocks is a task of its own, whatever the bucket's size.  In it two
+  bounds that no link exceeds (lengths, and counts of words by hash in ``BINS`` bins) come before alignments, and pairs that
+  links found there connect already are passed over.  So no pair that shares a sketch is left out, rows grow with members
+  times blocks, and links returned are at most one a text and block;
 - words travel as 32-bit hashes, and only those of texts in candidate pairs.
 
+Rows are told apart by a number of their own, never by their id, so rows that repeat an id with another text are rows
+like any others.
+
 Defined results: a null text is a class of its own; texts without words are one class where they are equal byte for
-byte; texts under ``K`` words have one k-mer, the whole text; copies and rows that repeat an id are members of one class;
-``class_id`` is the least id of the class.  Rows without an id take part as copies of rows with one; else their class is
-null and they are kept.
+byte; a text of one word has one k-mer, the word; very long texts are compared whole, row by row of the
+alignment; ``class_id`` is the least id of the class, null where none of its rows has one; an empty table has no rows;
+other columns, whatever their names, are not read.  ``keep`` marks the rows of least id of each class (of an id with several
+texts in one class the one of least text hash); rows that are equal in id and text are one document and share their fate.
 """
 
 from __future__ import annotations
@@ -32,17 +40,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, arrow_map, connected_components, cut, mix, shingle_hashes, write_shared
+from tidemark.llm.common import Words, Workspace, arrow_map, connected_components, list_array, mix, shingle_hashes
 
 K = 5
 L = 2
-SKETCHES = 24
+SKETCHES = 72
+SHORT, SHORT_K, SHORT_SKETCHES = 64, 2, 24  # in texts of so few words a single edit may hit most k-mers of five
 SIMILARITY = 0.8
 HUBS = 2
 SMALL = 64  # at most so many texts of a bucket are all compared with each other
-BLOCK = 1024  # members of larger buckets are compared in blocks of about so many
+BLOCK = 512  # members of larger buckets are compared in blocks of about so many
 BINS = 128
 MAX_CELLS = 4_000_000  # larger alignments go row by row
+POSITION = 24  # low bits of a hash that hold a k-mer's place among those of its block
 
 
 # --- sketches ----------------------------------------------------------------------------------------------------
@@ -77,28 +87,44 @@ def label_occurrences(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return mix(h + occurrence * np.uint64(0xD6E8FEB86659FD93))
 
 
-def order_minhash(h: np.ndarray, owner: np.ndarray, n_texts: int, sketches: int = SKETCHES) -> tuple[np.ndarray, np.ndarray]:
-    """(texts that have k-mers, their sketches): the two least k-mers under each hash function, in text order."""
+def order_minhash(h: np.ndarray, owner: np.ndarray, sketches: int = SKETCHES, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(texts that have k-mers, their sketches): the two least k-mers under each hash function, in text order.
+
+    The hash functions multiply the (already mixed) k-mer hashes by odd numbers; the k-mer's place stands in the low bits,
+    so that the minimum tells where it is."""
     first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-    count = np.diff(np.append(first, len(h)))
-    index = np.arange(len(h))
+    one = np.diff(np.append(first, len(h))) == 1
+    at = np.arange(len(h), dtype=np.uint64)
+    low = np.uint64((1 << max(POSITION, len(h).bit_length())) - 1)
+    high = ~low
     out = np.empty((len(first), sketches), np.uint64)
+    x = np.empty(len(h), np.uint64)
     for s in range(sketches):
-        # The text position in the low bits makes the minimum tell where it stands.
-        x = mix(h, s + 1)
-        m1 = np.minimum.reduceat(x, first)
-        p1 = np.minimum.reduceat(np.where(x == np.repeat(m1, count), index, len(h)), first)
+        np.multiply(h, _FACTORS[s % len(_FACTORS)], out=x)
+        x &= high
+        x |= at
+        p1 = (np.minimum.reduceat(x, first) & low).astype(np.int64)
         x[p1] = np.uint64(2**64 - 1)
-        m2 = np.minimum.reduceat(x, first)
-        p2 = np.minimum.reduceat(np.where(x == np.repeat(m2, count), index, len(h)), first)
-        one = count == 1
+        p2 = (np.minimum.reduceat(x, first) & low).astype(np.int64)
         p2[one] = p1[one]
         a, b = np.minimum(p1, p2), np.maximum(p1, p2)
-        out[:, s] = mix(h[a] * np.uint64(3) + mix(h[b], 77), s + 101)
+        out[:, s] = mix(h[a] * np.uint64(3) + mix(h[b], 77), s + 101 + salt)
     return owner[first], out
 
 
-def _sketch(batch: pa.RecordBatch, _row: int, _part: int) -> pa.RecordBatch:
+_FACTORS = np.random.Generator(np.random.PCG64(8)).integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _words32(w: Words, h: np.ndarray) -> list[bytes]:
+    """Words of each text as 32-bit hashes."""
+    short = (h >> np.uint64(32)).astype(np.uint32)
+    return [short[w.first[i] : w.first[i + 1]].tobytes() for i in range(len(w.count))]
+
+
+SKETCHED = "row long, doc_id long, text_key long, c1 long, c2 long, n_words long, sketch array<long>, words binary"
+
+
+def _sketch(batch: pa.RecordBatch, row: int, part: int) -> pa.RecordBatch:
     w = Words(batch.column(1))
     h = w.hashes()
     n = batch.num_rows
@@ -112,17 +138,20 @@ def _sketch(batch: pa.RecordBatch, _row: int, _part: int) -> pa.RecordBatch:
     for i in np.flatnonzero(w.count == 0):
         d = hashlib.md5(w.data[w.offsets[i] : w.offsets[i + 1]].tobytes()).digest()
         c1[i], c2[i] = np.frombuffer(d, np.uint64)
-    sk, sizes = np.empty(0, np.uint64), np.zeros(n, np.int64)
-    if len(h):
-        km, owner = kmers(w, h)
-        texts, found = order_minhash(label_occurrences(km, owner), owner, n)
-        sk, sizes[texts] = found.reshape(-1), found.shape[1]
-    from tidemark.llm.common import list_array
-
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array(c1.astype(np.int64)), pa.array(c2.astype(np.int64)), pa.array(w.count.astype(np.int64)), list_array(pa.array(sk.astype(np.int64)), sizes)],
-        ["doc_id", "c1", "c2", "n_words", "sketch"],
-    )
+    sk, sizes = np.zeros((n, SKETCHES + SHORT_SKETCHES), np.uint64), np.zeros(n, np.int64)
+    for k, sketches, of in ((K, SKETCHES, w.count > SHORT), (SHORT_K, SHORT_SKETCHES, (w.count > 0) & (w.count <= SHORT / SIMILARITY))):
+        if of.any():
+            km, owner = kmers(w, h, k)
+            mine = of[owner]
+            km, owner = km[mine], owner[mine]
+            texts, found = order_minhash(label_occurrences(km, owner), owner, sketches, 1000 * k)
+            sk[texts[:, None], sizes[texts][:, None] + np.arange(sketches)] = found
+            sizes[texts] += sketches
+    sk = sk[np.arange(sk.shape[1]) < sizes[:, None]]
+    rows = (np.int64(part) << np.int64(40)) + row + np.arange(n)
+    columns = [pa.array(rows), batch.column(0), batch.column(2), *[pa.array(c.astype(np.int64)) for c in (c1, c2, w.count)]]
+    columns += [list_array(pa.array(sk.astype(np.int64)), sizes), pa.array(_words32(w, h), pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "text_key", "c1", "c2", "n_words", "sketch", "words"])
 
 
 # --- alignment ---------------------------------------------------------------------------------------------------
@@ -228,47 +257,38 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 # --- the join ----------------------------------------------------------------------------------------------------
 
 
-def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rep, words): the words of the wanted texts as 32-bit hashes."""
-    chosen = docs.select(F.col("doc_key").alias("rep"), "text").join(wanted, "rep", "left_semi")
-
-    def each(batch: pa.RecordBatch, _row: int, _part: int):
-        w = Words(batch.column(1))
-        h = (w.hashes() >> np.uint64(32)).astype(np.uint32)
-        words = [h[w.first[i] : w.first[i + 1]].tobytes() for i in range(batch.num_rows)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], ["rep", "words"])
-
-    return arrow_map(chosen, [F.col("rep"), F.col("text")], each, "rep long, words binary").dropDuplicates(["rep"])
+def _numbers(words: bytes) -> np.ndarray:
+    return np.frombuffer(words, np.uint32).astype(np.int64)
 
 
 def verify(pairs: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) of representatives whose texts, given as (rep, words), are similar."""
-    both = pairs.join(words.select(F.col("rep").alias("b"), F.col("words").alias("wb")), "b").join(
-        words.select(F.col("rep").alias("a"), F.col("words").alias("wa")), "a"
+    """The pairs (a, b) of representatives whose texts, given as (rep, words), are similar.  Hubs are on the side ``a``; the
+    words of the side ``b`` come last, so that the pairs of one hub are spread over tasks when they are aligned."""
+    both = pairs.join(words.select(F.col("rep").alias("a"), F.col("words").alias("wa")), "a").join(
+        words.select(F.col("rep").alias("b"), F.col("words").alias("wb")), "b"
     )
 
     def check(batches):
         for b in batches:
-            wa, wb = b.column(2).to_pylist(), b.column(3).to_pylist()
-            ok = [similar(np.frombuffer(x, np.uint32).astype(np.int64), np.frombuffer(y, np.uint32).astype(np.int64), similarity) for x, y in zip(wa, wb, strict=True)]
+            ok = [similar(_numbers(x), _numbers(y), similarity) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], ["a", "b"])
 
     return both.select("a", "b", "wa", "wb").mapInArrow(check, "a long, b long")
 
 
-def _join_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+def _join_components(work: Workspace, labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Components after further edges: those of the edges between roots, and the old labels by them."""
     la, lb = labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
     between = edges.join(la, "a", "left").join(lb, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()
-    upper = connected_components(between).select(F.col("node").alias("root"), F.col("root").alias("above"))
+    upper = connected_components(work, between).select(F.col("node").alias("root"), F.col("root").alias("above"))
     moved = labels.join(upper, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
     fresh = upper.join(labels.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("above").alias("root"))
-    return write_shared(moved.unionByName(fresh))
+    return work.write(moved.unionByName(fresh))
 
 
 def _with_roots(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    return rows.select("bucket", "rep", "n_words").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    return rows.select("bucket", "k", "rep", "n_words").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 
 def _mixed(member: DataFrame) -> DataFrame:
@@ -277,12 +297,18 @@ def _mixed(member: DataFrame) -> DataFrame:
     return member.join(span.select("bucket"), "bucket", "left_semi")
 
 
-def _with_hubs(member: DataFrame, turn: int) -> DataFrame:
+def _part(block: int):
+    """Which part of its bucket a member is in: parts have about ``block`` members, so a hot bucket is many keys."""
+    return F.pmod(F.xxhash64("rep"), F.ceil(F.col("k") / block)).cast("int")
+
+
+def _with_hubs(member: DataFrame, turn: int, block: int) -> DataFrame:
     """Members that are not in the component of their bucket's hub, with it: (rep, n_words, a, na)."""
     hub = F.min(F.struct(F.xxhash64("bucket", "rep", F.lit(turn)).alias("o"), "rep", "n_words", "root")).alias("hub")
-    hubs = member.groupBy("bucket").agg(hub, F.min("root").alias("r1"), F.max("root").alias("r2")).where(F.col("r1") < F.col("r2"))
-    hubs = hubs.select("bucket", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"), F.col("hub.root").alias("ra"))
-    return member.join(hubs, "bucket").where(F.col("root") != F.col("ra")).select("rep", "n_words", "a", "na")
+    hubs = member.groupBy("bucket").agg(hub, F.max("k").alias("k"), F.min("root").alias("r1"), F.max("root").alias("r2")).where(F.col("r1") < F.col("r2"))
+    parts = F.explode(F.sequence(F.lit(0), F.ceil(F.col("k") / block).cast("int") - 1)).alias("part")
+    hubs = hubs.select("bucket", parts, F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"), F.col("hub.root").alias("ra"))
+    return member.withColumn("part", _part(block)).join(hubs, ["bucket", "part"]).where(F.col("root") != F.col("ra")).select("rep", "n_words", "a", "na")
 
 
 def _all_pairs(member: DataFrame) -> DataFrame:
@@ -296,105 +322,122 @@ def bag(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(words & (BINS - 1), minlength=BINS), 255).astype(np.uint8)
 
 
-def close_pairs(root: np.ndarray, size: np.ndarray, bags: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of different roots that lengths and bags do not exclude; of two blocks only the pairs across them."""
+def links_of_block(rep: np.ndarray, root: np.ndarray, outside: np.ndarray, words: list[bytes], similarity: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Links between the rows marked ``outside`` and all others that are in other components: a spanning set of them."""
+    arrays = [_numbers(x) for x in words]
+    size = np.array([len(x) for x in arrays])
+    bags = np.stack([bag(x) for x in arrays]).astype(np.int16)
+    known, of = np.unique(root, return_inverse=True)
+    top = np.arange(len(known))
+    links = []
     order = np.argsort(size, kind="stable")
-    root, size, bags, block = root[order], size[order], bags[order].astype(np.int16), block[order]
-    two = block.min() != block.max()
-    to = np.searchsorted(size, size / SIMILARITY + 1e-6, "right")
-    left, right = [], []
-    for i in range(len(size)):
-        j = np.arange(i + 1, to[i])
-        ok = root[i + 1 : to[i]] != root[i]
-        j = j[ok & (block[i + 1 : to[i]] != block[i])] if two else j[ok]
-        if len(j):
-            j = j[np.abs(bags[j] - bags[i]).sum(1) <= 2 * np.floor((1 - SIMILARITY) * size[j] + 1e-9)]
-            left.append(np.full(len(j), order[i]))
-            right.append(order[j])
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, np.int64), np.empty(0, np.int64))
-
-
-def _block_pairs(member: DataFrame, words: DataFrame, block: int) -> DataFrame:
-    """As ``_all_pairs``, of buckets of any size, without the pairs that lengths or bags exclude."""
-
-    def with_bag(batches):
-        for b in batches:
-            bags = [bag(np.frombuffer(x, np.uint32)).tobytes() for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bags, pa.binary())], ["rep", "bag"])
+    sizes = size[order]
+    for i in np.flatnonzero(outside).tolist():
+        near = order[np.searchsorted(sizes, similarity * size[i] - 1e-6) : np.searchsorted(sizes, size[i] / similarity + 1e-6, "right")]
+        near = near[(top[of[near]] != top[of[i]]) & (~outside[near] | (near > i))]
+        apart = np.abs(bags[near] - bags[i]).sum(1)
+        ok = apart <= 2 * np.floor((1 - similarity) * np.maximum(size[near], size[i]) + 1e-9)
+        near, apart = near[ok], apart[ok]
+        for j in near[np.argsort(apart, kind="stable")].tolist():
+            x, y = top[of[i]], top[of[j]]
+            if x != y and similar(arrays[i], arrays[j], similarity):
+                top[top == max(x, y)] = min(x, y)
+                links.append((int(rep[i]), int(rep[j])))
+    return links
+
+
+def _block_links(work: Workspace, member: DataFrame, words: DataFrame, block: int) -> DataFrame:
+    """(a, b): links across the components of buckets of any size."""
 
     def compare(group: pa.Table) -> pa.Table:
-        rep, size, root, at = (group.column(c).to_numpy() for c in ("rep", "n_words", "root", "block"))
-        bags = np.frombuffer(b"".join(group.column("bag").to_pylist()), np.uint8).reshape(len(rep), BINS)
-        i, j = close_pairs(root, size, bags, at)
-        return pa.table({"rep": rep[i], "n_words": size[i], "a": rep[j], "na": size[j]})
-
-    bags = words.join(member.select("rep").distinct(), "rep", "left_semi").select("rep", "words").mapInArrow(with_bag, "rep long, bag binary")
-    blocks = member.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("m"))
-    dealt = member.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
-    met = dealt.join(bags, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    met = met.select("bucket", "rep", "n_words", "root", "block", "bag", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    return met.groupBy("bucket", "i", "j").applyInArrow(compare, "rep long, n_words long, a long, na long")
-
-
-def near_duplicates(docs: DataFrame, small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """Per row: doc_id, class_id, class_size, n_links (verified links of its representative), keep."""
-    doc_id = F.col("doc_id").cast("long")
-    # A null id is kept as the greatest key and never is a representative that others are compared with.
-    keyed = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(2**63 - 1)).alias("doc_key"), F.col("text").cast("string").alias("text"))
-    sketched = write_shared(arrow_map(keyed.where(F.col("text").isNotNull()), [F.col("doc_key").alias("doc_id"), F.col("text")], _sketch, "doc_id long, c1 long, c2 long, n_words long, sketch array<long>"))
-    classes = cut(sketched.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep")))
-    with_sketch = sketched.join(classes.select("c1", "c2", F.col("rep").alias("doc_id")), ["c1", "c2", "doc_id"], "left_semi").where(F.col("doc_id") < 2**63 - 1).dropDuplicates(["doc_id"])
-    bands = with_sketch.select(F.col("doc_id").alias("rep"), "n_words", F.posexplode("sketch").alias("band", "value")).select("rep", "n_words", F.xxhash64("band", "value").alias("bucket"))
+        rep, root, outside = (group.column(c).to_numpy() for c in ("rep", "root", "outside"))
+        rows = np.argsort(~outside, kind="stable")
+        rows = rows[np.unique(rep[rows], return_index=True)[1]]  # a member may be there as row and as column
+        links = links_of_block(rep[rows], root[rows], outside[rows], group.column("words").take(pa.array(rows)).to_pylist()) if outside.any() else []
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    counts = member.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("x"), F.sum("n").alias("k"), F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
+    shape = largest.select("bucket", F.col("x.root").alias("main"), F.ceil(F.col("k") / block).cast("int").alias("m"), F.ceil((F.col("k") - F.col("x.n")) / block).cast("int").alias("s"))
+    dealt = member.drop("k").join(shape, "bucket").withColumn("outside", F.col("root") != F.col("main"))
+    part = F.pmod(F.xxhash64("rep"), F.col("m")).cast("int")
+    row = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("s")).cast("int")
+    # Every member is the column of all rows of blocks; those outside are the row of all columns too.
+    as_column = dealt.select("bucket", "rep", "root", F.lit(False).alias("outside"), F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("i"), part.alias("j"))
+    as_row = dealt.where("outside").select("bucket", "rep", "root", "outside", row.alias("i"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
+    met = as_column.unionByName(as_row).join(words, "rep")
+    return met.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def _classes(work: Workspace, docs: DataFrame, small: int, block: int) -> DataFrame:
+    text = F.col("text").cast("string")
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key")]
+    sketched = work.write(arrow_map(docs.where(F.col("text").isNotNull()), columns, _sketch, SKETCHED))
+    equal = work.write(sketched.groupBy("c1", "c2").agg(F.min("row").alias("rep")))
+    own = sketched.join(equal.select(F.col("rep").alias("row")), "row", "left_semi").select(F.col("row").alias("rep"), "n_words", "sketch", "words")
+    bands = own.select("rep", "n_words", F.explode(F.array_distinct("sketch")).alias("bucket"))
     # Buckets of two or more, once for all steps.  At first hubs are the same in all buckets, so that the members of a
     # group meet few of them; later each bucket has its own.
     hub = F.min(F.struct(F.xxhash64("rep").alias("o"), "rep", "n_words")).alias("hub")
     several = bands.groupBy("bucket").agg(hub, F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("bucket", "k", F.col("hub.rep").alias("a"), F.col("hub.n_words").alias("na"))
-    shared = write_shared(bands.join(several, "bucket"))
-    words = write_shared(_words_of(keyed, shared.select("rep").distinct()))
+    shared = work.write(bands.join(several, "bucket"))
+    words = work.write(own.select("rep", "words").join(shared.select("rep").distinct(), "rep", "left_semi"))
     found = labels = tried = None
     for step in range(2 + HUBS):
-        # Each step is written as tables: checkpoints inherit size estimates, which joins multiply step by step.
         large = shared.where(F.col("k") > small)
-        if step == 0:
-            pairs = shared.where(F.col("rep") != F.col("a")).select("rep", "n_words", "a", "na")
-        elif step <= HUBS:
-            pairs = _with_hubs(_with_roots(large, labels), step)
+        if step <= HUBS:
+            if step == 0:
+                pairs = shared.where(F.col("rep") != F.col("a")).select("rep", "n_words", "a", "na")
+            else:
+                pairs = _with_hubs(_with_roots(large, labels), step, block)
             if step == 1:
                 pairs = pairs.unionByName(_all_pairs(_mixed(_with_roots(shared.where(F.col("k").between(3, small)), labels))))
-        else:
-            pairs = _block_pairs(write_shared(_mixed(_with_roots(large, labels))), words, block)
-        pairs = pairs.where(F.least("n_words", "na") >= SIMILARITY * F.greatest("n_words", "na") - 1e-9)
-        pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-        pairs = write_shared(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        if not pairs.isEmpty():
+            pairs = pairs.where(F.least("n_words", "na") >= SIMILARITY * F.greatest("n_words", "na") - 1e-9)
+            # The one of least hash is first, as hubs are.
+            hubs_first = F.xxhash64("a") < F.xxhash64("rep")
+            pairs = pairs.select(F.when(hubs_first, F.col("a")).otherwise(F.col("rep")).alias("a"), F.when(hubs_first, F.col("rep")).otherwise(F.col("a")).alias("b")).distinct()
+            pairs = work.write(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+            if pairs.isEmpty():
+                if step == 0:
+                    break
+                continue
             tried = pairs if tried is None else tried.unionByName(pairs)
-            good = write_shared(verify(pairs, words))
-            found = good if found is None else found.unionByName(good)
-            if labels is None:
-                labels = connected_components(good)
-            elif not good.isEmpty():
-                labels = _join_components(labels, good)
-        elif step == 0:
-            break
-    members = sketched.select("doc_id", "c1", "c2").join(classes, ["c1", "c2"])
+            good = work.write(verify(pairs, words))
+        else:
+            good = work.write(_block_links(work, _with_roots(large, labels), words, block))
+        found = good if found is None else found.unionByName(good)
+        if labels is None:
+            labels = connected_components(work, good)
+        elif not good.isEmpty():
+            labels = _join_components(work, labels, good)
+    members = sketched.select("row", "doc_id", "text_key", "c1", "c2").join(equal, ["c1", "c2"])
     if found is None:
-        rooted, links = members.withColumn("class_id", F.col("rep")), None
+        rooted = members.withColumns({"root": F.col("rep"), "n_links": F.lit(0).cast("long")})
     else:
-        rooted = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_id", F.coalesce("root", "rep"))
         links = found.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    rooted = rooted.join(links, "rep", "left") if links is not None else rooted.withColumn("n_links", F.lit(0).cast("long"))
-    sizes = rooted.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    out = rooted.join(sizes, "class_id").select(
-        F.nullif("doc_id", F.lit(2**63 - 1)).alias("doc_id"), F.nullif("class_id", F.lit(2**63 - 1)).alias("class_id"), "class_size",
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("doc_id") == F.col("class_id")).alias("keep"),
-    )
-    nulls = docs.where(F.col("text").isNull()).select(doc_id.alias("doc_id"), doc_id.alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("keep"))
-    return out.unionByName(nulls)
+        rooted = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        rooted = rooted.join(links, "rep", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    classes = rooted.groupBy("root").agg(first, F.count(F.lit(1)).alias("class_size"))
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    return rooted.join(classes, "root").select("doc_id", "text_key", F.col("first.doc_id").alias("class_id"), "class_size", "n_links", kept.alias("keep"))
+
+
+def near_duplicates(docs: DataFrame, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """Per row: doc_id, class_id, class_size, n_links (verified links of its representative), keep, text_key."""
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    one = F.lit(1).cast("long")
+    nulls = docs.where(F.col("text").isNull()).select(
+        doc_id, F.lit(None).cast("long").alias("text_key"), doc_id.alias("class_id"), one.alias("class_size"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("keep")
+    )
+    with Workspace(docs.sparkSession) as work:
+        return work.keep(_classes(work, docs, small, block)).unionByName(nulls)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that duplicate a kept one: the document of least id of each class stays.  Rows
-    that repeat the kept id are that document, and stay; so do rows without an id."""
+    """The rows of ``docs`` without those that duplicate a kept one, all columns kept: see ``keep`` above.  Each row is
+    judged by its own text, whatever other rows have its id."""
     verdict = near_duplicates(docs)
-    gone = verdict.where(~F.col("keep") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    gone = verdict.where(~F.col("keep")).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key"))
+    return docs.join(gone, same, "left_anti")

@@ -22,7 +22,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.decontamination import decontaminate
 
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
 def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.near_duplicates import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
