@@ -9,41 +9,34 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontamination, near_duplicates, substring_dedup, toxicity
-from tidemark.llm.common import drop_shared, shared_dir, table
+from tidemark.llm.common import table
+from tidemark.sources.files import scratch_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
-    drop_shared(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one of least id."""
-    drop_shared(spark)
     return near_duplicates.keep_one(docs)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that repeat across documents stay in the first one only; texts are cut, no document goes."""
-    drop_shared(spark)
     return substring_dedup.remove_passages(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a window of a benchmark item occurs go."""
-    drop_shared(spark)
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.where(F.col("contaminated") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_tokens, and digests of the ids and of the text decoded from them."""
-    drop_shared(spark)
     return bpe.encode_decode_digest(docs)
 
 
@@ -62,7 +55,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from documents to encodings."""
     docs = table(spark, sf_dir, "documents")
-    where = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    where = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         out = stage(spark, docs, sf_dir)
         out.write.parquet(f"{where}/{name}")
