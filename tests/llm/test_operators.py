@@ -333,9 +333,15 @@ def test_alignment():
         x, y, d = np.array(a, np.int64), np.array(b, np.int64), distance(a, b)
         limit = rng.randrange(30)
         assert near_duplicates.edit_distance_within(x, y, limit) == min(d, limit + 1)
-        band = abs(len(a) - len(b)) + rng.randrange(9)
-        for f in (near_duplicates._rows, near_duplicates._diagonals):
-            assert (f(x, y, band) == d) if d <= band else f(x, y, band) > band
+        assert near_duplicates.similar(x, y) == (d <= int(0.2 * max(len(a), len(b)) + 1e-9))
+    for n in (90, 300, 700):  # the window moves
+        for share in (0.02, 0.15, 0.4):
+            a = [rng.randrange(60) for _ in range(n)]
+            b = [x if isinstance(x, int) else rng.randrange(60) for x in edit(a, rng, share)]
+            x, y, d = np.array(a, np.int64), np.array(b, np.int64), distance(a, b)
+            for limit in (d - 1, d, d + 1, 3 * d, n):
+                assert near_duplicates.edit_distance_within(x, y, limit) == min(d, limit + 1)
+            assert near_duplicates.similar(x, y) == (d <= int(0.2 * max(len(a), len(b)) + 1e-9))
 
 
 def test_near_duplicates(spark, odd, empty):

@@ -14,19 +14,18 @@ Work is kept near linear in the rows, for groups of any size:
   of at most ``SMALL`` texts, all pairs that the links so far do not connect.  That is at most ``SMALL`` rows a member, and
   no pair that shares such a bucket is left out;
 - larger buckets that are still of several components compare their members with ``HUBS`` further hubs.  Of what is then
-  still of several components, the members outside the largest one are compared with all others: both sides are dealt to
-  blocks of about ``BLOCK`` by hash, and each pair of blocks is a task of its own, whatever the bucket's size.  In it two
-  bounds that no link exceeds (lengths, and counts of words by hash in ``BINS`` bins) come before alignments, and pairs that
-  links found there connect already are passed over.  So no pair that shares a sketch is left out, rows grow with members
-  times blocks, and links returned are at most one a text and block;
+  still of several components, the members outside the largest one meet all others: both sides are dealt to blocks of
+  about ``BLOCK`` by hash, and each pair of blocks is a task of its own, whatever the bucket's size.  A pair is left where two
+  bounds that no link exceeds (lengths, and counts of words by hash in ``BINS`` bins) allow it, in the first such bucket that
+  has both texts; then it is aligned.  So no pair that shares a sketch is left out, and rows grow with members times
+  blocks;
 - words travel as 32-bit hashes, and only those of texts in candidate pairs.
 
 Rows are told apart by a number of their own, never by their id, so rows that repeat an id with another text are rows
 like any others.
 
 Defined results: a null text is a class of its own; texts without words are one class where they are equal byte for
-byte; a text of one word has one k-mer, the word; very long texts are compared whole, row by row of the
-alignment; ``class_id`` is the least id of the class, null where none of its rows has one; an empty table has no rows;
+byte; a text of one word has one k-mer, the word; very long texts are compared whole; ``class_id`` is the least id of the class, null where none of its rows has one; an empty table has no rows;
 other columns, whatever their names, are not read.  ``keep`` marks the rows of least id of each class (of an id with several
 texts in one class the one of least text hash); rows that are equal in id and text are one document and share their fate.
 """
@@ -47,11 +46,11 @@ L = 2
 SKETCHES = 72
 SHORT, SHORT_K, SHORT_SKETCHES = 64, 2, 24  # in texts of so few words a single edit may hit most k-mers of five
 SIMILARITY = 0.8
-HUBS = 2
+HUBS = 1
 SMALL = 64  # at most so many texts of a bucket are all compared with each other
-BLOCK = 512  # members of larger buckets are compared in blocks of about so many
-BINS = 128
-MAX_CELLS = 4_000_000  # larger alignments go row by row
+BLOCK = 1024  # members of larger buckets are compared in blocks of about so many
+BINS, COARSE = 512, 64  # bins of a quick bound: an edit moves the counts of two of them by one
+CHUNK = 64
 POSITION = 24  # low bits of a hash that hold a k-mer's place among those of its block
 
 
@@ -158,10 +157,7 @@ def _sketch(batch: pa.RecordBatch, row: int, part: int) -> pa.RecordBatch:
 
 
 def edit_distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
-    """Edit distance of two sequences, or limit + 1 where it is greater.
-
-    Common ends are cut, a multiset bound rejects early, and the band of diagonals widens until the distance fits in it.
-    """
+    """Edit distance of two sequences, or limit + 1 where it is greater; common ends are cut first."""
     n = min(len(a), len(b))
     if abs(len(a) - len(b)) > limit:
         return limit + 1
@@ -177,72 +173,41 @@ def edit_distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
                 a, b = a[:-tail], b[:-tail]
     if not len(a) or not len(b):
         return min(limit + 1, max(len(a), len(b)))
-    values, counts = np.unique(np.concatenate([a, b]), return_inverse=True)[0], None
-    ca = np.bincount(np.searchsorted(values, a), minlength=len(values))
-    cb = np.bincount(np.searchsorted(values, b), minlength=len(values))
-    if max(len(a), len(b)) - int(np.minimum(ca, cb).sum()) > limit:
-        return limit + 1
-    band = max(8, abs(len(a) - len(b)))
-    while True:
-        band = min(band, limit)
-        d = _diagonals(a, b, band) if len(a) * (2 * band + 1) <= MAX_CELLS else _rows(a, b, band)
-        if d <= band or band >= limit:
-            return min(d, limit + 1)
-        band *= 4
-
-
-def _diagonals(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Edit distance if at most ``band``, else band + 1: furthest places reached on each diagonal with 0, 1, ... edits.
-
-    For all cells of the band the next mismatch along the diagonal is laid out first, so a further edit is a few
-    operations on the band's diagonals.
-    """
-    m, n = len(a), len(b)
-    width = 2 * band + 1
-    padded = np.full(max(m, n) + width + 1, -1, np.int64)
-    padded[band : band + n] = b
-    differs = np.lib.stride_tricks.sliding_window_view(padded, width)[:m] != a[:, None]  # [i, k]: a[i] and b[i + k - band]
-    stop = np.full((m + 1, width), m, np.int32)
-    np.copyto(stop[:m], np.arange(m, dtype=np.int32)[:, None], where=differs)
-    stop = np.minimum.accumulate(stop[::-1], axis=0)[::-1]
-    k = np.arange(width)
-    furthest = np.minimum(m, n - (k - band))  # last row of each diagonal
-    reach = np.full(width + 2, -(10**6), np.int64)  # with a border on either side
-    reach[1 + band] = stop[0, band]
-    goal = 1 + band + n - m
-    for d in range(band + 1):
-        if reach[goal] >= m:
-            return d
-        new = np.maximum(np.maximum(reach[1:-1] + 1, reach[2:] + 1), reach[:-2])
-        new = np.minimum(new, furthest)
-        reach[1:-1] = np.where(new >= 0, stop[np.maximum(new, 0), k], -(10**6))
-    return band + 1
-
-
-def _rows(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """As ``_diagonals``, row by row in memory of one band: for very long texts.  In a row, insertions run along the row;
-    they are a running minimum of (value - column)."""
-    m, n = len(a), len(b)
-    width = 2 * band + 1
-    far = np.int32(m + n + 1)
-    column = np.arange(width, dtype=np.int32)
-    padded = np.full(max(m, n) + 2 * band + 2, -1, np.int64)
-    padded[band : band + n] = b
-    prev = np.full(width + 1, far, np.int32)  # prev[k]: row i, column i + k - band; the last entry is a border
-    j0 = column - band
-    prev[:width] = np.where((j0 >= 0) & (j0 <= n), j0, far)
-    for i in range(1, m + 1):
-        j = i + j0
-        step = np.minimum(prev[:width] + (padded[i - 1 : i - 1 + width] != a[i - 1]), prev[1:] + 1).astype(np.int32)
-        step[(j < 0) | (j > n)] = far
-        if i <= band:
-            step[band - i] = i
-        row = np.minimum.accumulate(step - column) + column
-        row[(j < 0) | (j > n)] = far
-        if row.min() > band:
-            return band + 1
-        prev[:width] = row
-    return int(prev[n - m + band])
+    return min(limit + 1, _banded(a.tolist(), b.tolist(), limit))
+
+
+def _banded(a: list[int], b: list[int], band: int) -> int:
+    """Edit distance where it is at most ``band``, else something greater: the cells within ``band`` of the diagonal, a column
+    at a time, as bits of two numbers that tell where a cell is one more or one less than the one above it.
+
+    The window of rows moves along every ``CHUNK`` columns.  Below and above it cells count as one more a step, which no
+    true cell exceeds; a path through them is longer than the band, so results within it are exact."""
+    m, where = len(a), {}
+    for i, x in enumerate(a):
+        where[x] = where.get(x, 0) | 1 << i
+    low, high = 0, min(m, band + CHUNK)
+    full = (1 << high) - 1
+    more, less, value = full, 0, high  # value: of the window's last row in this column
+    for begin in range(0, len(b), CHUNK):
+        if begin:
+            top, bottom = min(m, begin + band + CHUNK), max(0, begin - band)
+            more |= ((1 << (top - high)) - 1) << (high - low)
+            value += top - high
+            more, less = more >> (bottom - low), less >> (bottom - low)
+            low, high = bottom, top
+            full = (1 << (high - low)) - 1
+        last = 1 << (high - low - 1)
+        for x in b[begin : begin + CHUNK]:
+            match = where.get(x, 0) >> low & full
+            same = (((match & more) + more) ^ more) | match | less
+            up, down = less | (full & ~(same | more)), same & more
+            if up & last:
+                value += 1
+            elif down & last:
+                value -= 1
+            up, down = (up << 1) | 1, down << 1
+            more, less = (down | ~(same | up)) & full, same & up & full
+    return value
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
@@ -251,6 +216,14 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     if not longer:
         return True
     limit = int((1 - similarity) * longer + 1e-9)
+    if abs(len(a) - len(b)) > limit:
+        return False
+    # An edit moves the counts of two words by one at most, and those of four pairs of words.
+    if np.abs(np.bincount(a & (BINS - 1), minlength=BINS) - np.bincount(b & (BINS - 1), minlength=BINS)).sum() > 2 * limit:
+        return False
+    x, y = ((v[1:] * 31 + v[:-1]) & (4 * BINS - 1) for v in (a, b))
+    if np.abs(np.bincount(x, minlength=4 * BINS) - np.bincount(y, minlength=4 * BINS)).sum() > 4 * limit:
+        return False
     return edit_distance_within(a, b, limit) <= limit
 
 
@@ -322,51 +295,81 @@ def bag(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(words & (BINS - 1), minlength=BINS), 255).astype(np.uint8)
 
 
-def links_of_block(rep: np.ndarray, root: np.ndarray, outside: np.ndarray, words: list[bytes], similarity: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Links between the rows marked ``outside`` and all others that are in other components: a spanning set of them."""
-    arrays = [_numbers(x) for x in words]
-    size = np.array([len(x) for x in arrays])
-    bags = np.stack([bag(x) for x in arrays]).astype(np.int16)
-    known, of = np.unique(root, return_inverse=True)
-    top = np.arange(len(known))
-    links = []
+def _earlier(bucket: int, buckets: list[list[int]]) -> np.ndarray:
+    """(row, bucket): which of the buckets before this one each row is in, of those that several rows are in."""
+    owner = np.repeat(np.arange(len(buckets)), [len(x) for x in buckets])
+    flat = np.array([y for x in buckets for y in x], np.int64)
+    owner, flat = owner[flat < bucket], flat[flat < bucket]
+    names, of, n = np.unique(flat, return_inverse=True, return_counts=True)
+    place = np.cumsum(n > 1) - 1
+    ok = n[of] > 1
+    out = np.zeros((len(buckets), int((n > 1).sum())), bool)
+    out[owner[ok], place[of[ok]]] = True
+    return out
+
+
+def close_pairs(root: np.ndarray, outside: np.ndarray, size: np.ndarray, bags: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row marked ``outside`` and another one of another component that lengths and bags do not exclude.  Pairs
+    that are in an earlier bucket together are left to that one."""
+    fine = bags.astype(np.int16)
+    coarse = fine.reshape(len(fine), BINS // COARSE, COARSE).sum(1)
     order = np.argsort(size, kind="stable")
-    sizes = size[order]
+    sizes, left, right = size[order], [], []
     for i in np.flatnonzero(outside).tolist():
-        near = order[np.searchsorted(sizes, similarity * size[i] - 1e-6) : np.searchsorted(sizes, size[i] / similarity + 1e-6, "right")]
-        near = near[(top[of[near]] != top[of[i]]) & (~outside[near] | (near > i))]
-        apart = np.abs(bags[near] - bags[i]).sum(1)
-        ok = apart <= 2 * np.floor((1 - similarity) * np.maximum(size[near], size[i]) + 1e-9)
-        near, apart = near[ok], apart[ok]
-        for j in near[np.argsort(apart, kind="stable")].tolist():
-            x, y = top[of[i]], top[of[j]]
-            if x != y and similar(arrays[i], arrays[j], similarity):
-                top[top == max(x, y)] = min(x, y)
-                links.append((int(rep[i]), int(rep[j])))
-    return links
-
-
-def _block_links(work: Workspace, member: DataFrame, words: DataFrame, block: int) -> DataFrame:
-    """(a, b): links across the components of buckets of any size."""
+        near = order[np.searchsorted(sizes, SIMILARITY * size[i] - 1e-6) : np.searchsorted(sizes, size[i] / SIMILARITY + 1e-6, "right")]
+        near = near[(root[near] != root[i]) & (~outside[near] | (near > i))]
+        limit = 2 * np.floor((1 - SIMILARITY) * np.maximum(size[near], size[i]) + 1e-9)
+        for kind in (coarse, fine):
+            ok = np.abs(kind[near] - kind[i]).sum(1) <= limit
+            near, limit = near[ok], limit[ok]
+        if len(near):
+            near = near[~earlier[near][:, earlier[i]].any(1)]
+            left.append(np.full(len(near), i))
+            right.append(near)
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def _block_pairs(work: Workspace, member: DataFrame, words: DataFrame, block: int) -> DataFrame:
+    """As ``_all_pairs``, of buckets of any size, without the pairs that lengths or bags exclude."""
+
+    def with_bag(batches):
+        for b in batches:
+            bags = [bag(_numbers(x)).tobytes() for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bags, pa.binary()), b.column(2)], ["rep", "bag", "buckets"])
 
     def compare(group: pa.Table) -> pa.Table:
-        rep, root, outside = (group.column(c).to_numpy() for c in ("rep", "root", "outside"))
+        rep, root, size, outside = (group.column(c).to_numpy() for c in ("rep", "root", "n_words", "outside"))
         rows = np.argsort(~outside, kind="stable")
         rows = rows[np.unique(rep[rows], return_index=True)[1]]  # a member may be there as row and as column
-        links = links_of_block(rep[rows], root[rows], outside[rows], group.column("words").take(pa.array(rows)).to_pylist()) if outside.any() else []
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+        rep, root, size, outside = rep[rows], root[rows], size[rows], outside[rows]
+        i = j = np.empty(0, np.int64)
+        if outside.any():
+            group = group.select(["bucket", "bag", "buckets"]).take(pa.array(rows))
+            bags = np.frombuffer(b"".join(group.column("bag").to_pylist()), np.uint8).reshape(len(rep), BINS)
+            i, j = close_pairs(root, outside, size, bags, _earlier(group.column("bucket")[0].as_py(), group.column("buckets").to_pylist()))
+        return pa.table({"rep": rep[i], "n_words": size[i], "a": rep[j], "na": size[j]})
 
     counts = member.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("x"), F.sum("n").alias("k"), F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
     shape = largest.select("bucket", F.col("x.root").alias("main"), F.ceil(F.col("k") / block).cast("int").alias("m"), F.ceil((F.col("k") - F.col("x.n")) / block).cast("int").alias("s"))
-    dealt = member.drop("k").join(shape, "bucket").withColumn("outside", F.col("root") != F.col("main"))
+    dealt = work.write(member.drop("k").join(shape, "bucket").withColumn("outside", F.col("root") != F.col("main")))
     part = F.pmod(F.xxhash64("rep"), F.col("m")).cast("int")
     row = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("s")).cast("int")
     # Every member is the column of all rows of blocks; those outside are the row of all columns too.
-    as_column = dealt.select("bucket", "rep", "root", F.lit(False).alias("outside"), F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("i"), part.alias("j"))
-    as_row = dealt.where("outside").select("bucket", "rep", "root", "outside", row.alias("i"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
-    met = as_column.unionByName(as_row).join(words, "rep")
-    return met.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+    as_column = dealt.select("bucket", "rep", "n_words", "root", F.lit(False).alias("outside"), F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("i"), part.alias("j"))
+    as_row = dealt.where("outside").select("bucket", "rep", "n_words", "root", "outside", row.alias("i"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
+    # Texts that share several such buckets meet in the first of them.
+    among = dealt.groupBy("rep").agg(F.collect_set("bucket").alias("buckets"))
+    bags = work.write(words.join(among, "rep").select("rep", "words", "buckets").mapInArrow(with_bag, "rep long, bag binary, buckets array<long>"))
+    met = as_column.unionByName(as_row).join(bags, "rep")
+    return met.groupBy("bucket", "i", "j").applyInArrow(compare, "rep long, n_words long, a long, na long")
+
+
+def _canonical(pairs: DataFrame) -> DataFrame:
+    """(a, b) of texts whose lengths may be similar; the one of least hash is first, as hubs are."""
+    pairs = pairs.where(F.least("n_words", "na") >= SIMILARITY * F.greatest("n_words", "na") - 1e-9)
+    first = F.xxhash64("a") < F.xxhash64("rep")
+    return pairs.select(F.when(first, F.col("a")).otherwise(F.col("rep")).alias("a"), F.when(first, F.col("rep")).otherwise(F.col("a")).alias("b")).distinct()
 
 
 def _classes(work: Workspace, docs: DataFrame, small: int, block: int) -> DataFrame:
@@ -385,26 +388,20 @@ def _classes(work: Workspace, docs: DataFrame, small: int, block: int) -> DataFr
     found = labels = tried = None
     for step in range(2 + HUBS):
         large = shared.where(F.col("k") > small)
-        if step <= HUBS:
-            if step == 0:
-                pairs = shared.where(F.col("rep") != F.col("a")).select("rep", "n_words", "a", "na")
-            else:
-                pairs = _with_hubs(_with_roots(large, labels), step, block)
+        if step == 0:
+            pairs = shared.where(F.col("rep") != F.col("a")).select("rep", "n_words", "a", "na")
+        elif step <= HUBS:
+            pairs = _with_hubs(_with_roots(large, labels), step, block)
             if step == 1:
                 pairs = pairs.unionByName(_all_pairs(_mixed(_with_roots(shared.where(F.col("k").between(3, small)), labels))))
-            pairs = pairs.where(F.least("n_words", "na") >= SIMILARITY * F.greatest("n_words", "na") - 1e-9)
-            # The one of least hash is first, as hubs are.
-            hubs_first = F.xxhash64("a") < F.xxhash64("rep")
-            pairs = pairs.select(F.when(hubs_first, F.col("a")).otherwise(F.col("rep")).alias("a"), F.when(hubs_first, F.col("rep")).otherwise(F.col("a")).alias("b")).distinct()
-            pairs = work.write(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-            if pairs.isEmpty():
-                if step == 0:
-                    break
-                continue
-            tried = pairs if tried is None else tried.unionByName(pairs)
-            good = work.write(verify(pairs, words))
         else:
-            good = work.write(_block_links(work, _with_roots(large, labels), words, block))
+            pairs = _block_pairs(work, _mixed(_with_roots(large, labels)), words, block)
+        pairs = _canonical(pairs)
+        pairs = work.write(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        if pairs.isEmpty() and step == 0:
+            break
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        good = work.write(verify(pairs, words))
         found = good if found is None else found.unionByName(good)
         if labels is None:
             labels = connected_components(work, good)
