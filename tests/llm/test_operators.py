@@ -112,6 +112,47 @@ def test_quality_statistics_and_outliers(spark, odd, empty):
     assert small == 30
 
 
+def brute_mcd(rows, floor):
+    """Concentration from the two starts, with the operator's bins, in numpy."""
+    x = np.array(rows, float)
+    starts = []
+    q1, q2, q3 = (np.array([sorted(c)[math.ceil(q * len(c)) - 1] for c in x.T]) for q in (0.25, 0.5, 0.75))
+    starts.append((q2, np.diag(((q3 - q1) / 1.349) ** 2 + floor**2)))
+    starts.append((x.mean(0), np.cov(x.T, bias=True) + np.diag(floor**2)))
+    best = None
+    for m, c in starts:
+        for _ in range(quality.MAX_STEPS):
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            bins = np.floor(16 * np.log2(d + 0.001))
+            order = np.sort(bins)
+            y = x[bins <= order[math.ceil(len(x) * quality.SUBSET) - 1]]
+            new = y.mean(0), np.cov(y.T, bias=True) * quality.CONSISTENCY + np.diag(floor**2)
+            done = abs(np.linalg.slogdet(new[1])[1] - np.linalg.slogdet(c)[1]) < 2e-9
+            m, c = new
+            if done:
+                break
+        det = np.linalg.slogdet(c)[1]
+        if best is None or det < best[0]:
+            best = det, np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    return best[1]
+
+
+def test_quality_verdict_equals_numpy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    stats = quality.features(quality.statistics(docs)).where("n_words >= 50 and 100 * n_repeat_words <= 50 * n_words").select("doc_id", "lang", "source", *quality.FEATURES).collect()
+    got, groups = {r["doc_id"]: r for r in quality.quality(docs, min_group=30).where("not base_failed").collect()}, collections.defaultdict(list)
+    for r in stats:
+        groups[r["lang"], r["source"]].append(r)
+    n = 0
+    for rows in groups.values():
+        if len(rows) >= 30:
+            want = brute_mcd([[r[f] for f in quality.FEATURES] for r in rows], np.array(quality.FLOOR, float))
+            for r, d in zip(rows, want, strict=True):
+                assert abs(got[r["doc_id"]]["d2"] - d) < 1e-2 + 1e-3 * d and got[r["doc_id"]]["kept"] == (got[r["doc_id"]]["d2"] <= quality.CUTOFF)
+                n += 1
+    assert n > 200
+
+
 # --- sharding ----------------------------------------------------------------------------------------------------
 
 
@@ -189,7 +230,11 @@ def test_language_model_probabilities_sum_to_one_and_gradients():
     fresh = np.zeros((5, 3), bool)
     fresh[2, 1] = True
     start = rng.normal(0, 1, (3, 6))
+    targets[3:, 2] = -1  # past the end of a stream
     _, g, _ = m.train_window(ids, targets, fresh, start)
+    rows, values = g["x"]
+    g["x"] = np.zeros_like(m.p["x"])
+    g["x"][rows] = values
     for name in m.p:
         for _ in range(6):
             at = tuple(rng.integers(0, s) for s in m.p[name].shape)
@@ -276,10 +321,19 @@ def test_bpe_random_texts(library):
         assert [encoder.decode(x) for x in got] == [library.decode(x, skip_special_tokens=False) for x in want]
 
 
+def test_bpe_of_long_words(library):
+    rng, encoder = random.Random(4), bpe.load(bpe.default_vocabulary())
+    for letters in ("ab", "abcdefghijklmnopqrstuvwxyz", "éü日a"):
+        text = "".join(rng.choice(letters) for _ in range(6000))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert encoder.encode_batch([text])[0].tolist() == want and encoder.merge_long(text.encode()).tolist() == encoder.merge_rounds([text.encode()])[0].tolist() == want
+
+
 def test_token_counts(odd, empty, library, monkeypatch):
     monkeypatch.setattr(token_counts, "GROUP", 3)
-    blocks, order = token_counts.write_token_blocks(odd, block_tokens=64)
-    got = order.join(token_counts.document_lengths(token_counts.scan_blocks(blocks)), ["stream", "ordinal"])
+    work = Workspace(odd.sparkSession)
+    blocks, order = token_counts.write_token_blocks(work, odd, block_tokens=64, width=4)
+    got = order.join(token_counts.document_lengths(work, token_counts.scan_blocks(blocks, width=4)), ["stream", "ordinal"])
     library.encode_special_tokens = True
     want = sorted((str(i), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t, *_ in ODD)
     library.encode_special_tokens = False
@@ -297,7 +351,7 @@ def test_token_counts_of_raw_files(spark, tmp_path):
         want += sizes.tolist() + ([k] if k else [])
     (tmp_path / "none.bin").write_bytes(b"")
     blocks = token_counts.blocks_of_files(spark, str(tmp_path), block_bytes=22)
-    got = token_counts.document_lengths(token_counts.scan_blocks(blocks)).collect()
+    got = token_counts.document_lengths(Workspace(spark), token_counts.scan_blocks(blocks)).collect()
     assert sorted(r["n_tokens"] for r in got) == sorted(want) and sum(not r["terminated"] for r in got) == 2
 
 

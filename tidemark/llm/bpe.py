@@ -4,19 +4,22 @@ Texts are split into pre-tokens by the vocabulary's pattern.  Words not met befo
 together: the symbols of all of them lie in one flat array; each round looks every adjacent pair up by binary search
 over the sorted pair keys, finds the least rank within each word (a segmented minimum), and merges all its occurrences
 in that word, left to right and without overlap.  A merged symbol can only be part of later-ranked pairs, so merging all
-occurrences of the least pair at once gives what merging them one by one gives.  The encodings of short words are kept
-in a bounded cache.
+occurrences of the least pair at once gives what merging them one by one gives.  A word of more than ``LONG`` bytes (a blob
+without blanks) would need a round for every merge rank in it; its pairs wait in a queue by rank instead, which takes n log n
+steps.  The encodings of short words are kept in a bounded cache.
 
 Special tokens that stand in a text are encoded as such, as the tokenizers library does by default;
 ``special_tokens=False`` treats them as ordinary text.  Decoding looks ids up in one flat byte table.
 
 Defined results: a null text is an empty text; it has no ids and decodes to the empty text; ids outside of the
-vocabulary are skipped in decoding; bytes that are not UTF-8 decode to U+FFFD, as in the library.
+vocabulary are skipped in decoding; bytes that are not UTF-8 decode to U+FFFD, as in the library; very long texts are encoded
+whole; rows that repeat a document each get a row; an empty table has no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 
 import numpy as np
@@ -30,6 +33,7 @@ from tidemark.llm.common import arrow_map
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHE_WORDS = 150_000
 CACHE_WORD_CHARS = 40
+LONG = 1000
 
 
 def default_vocabulary() -> str:
@@ -79,6 +83,7 @@ class Bpe:
         self.pattern = regex.compile(PATTERN)
         self.splitter = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if special_tokens and self.special else None
         self.cache: dict[str, np.ndarray] = {}
+        self.pairs: dict[int, tuple[int, int]] | None = None
         self.cache_words = cache_words
 
     def merge_rounds(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -122,6 +127,33 @@ class Bpe:
         order = np.argsort(owner, kind="stable")
         return ids[order], np.bincount(owner, minlength=len(words))
 
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one long word: pairs in order of rank, then place, over a linked list of symbols."""
+        if self.pairs is None:
+            self.pairs = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist(), strict=True), strict=True))
+        sym = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
+        n, get = len(sym), self.pairs.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue = [(p[0], i) for i in range(n - 1) if (p := get((sym[i] << 32) | sym[i + 1])) is not None]
+        heapq.heapify(queue)
+        while queue:
+            rank, i = heapq.heappop(queue)
+            j = after[i]
+            if sym[i] < 0 or j >= n:
+                continue
+            pair = get((sym[i] << 32) | sym[j])
+            if pair is None or pair[0] != rank:  # one of its symbols was merged before
+                continue
+            sym[i], sym[j], after[i] = pair[1], -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (p := get((sym[i] << 32) | sym[after[i]])) is not None:
+                    heapq.heappush(queue, (p[0], i))
+            if before[i] >= 0 and (p := get((sym[before[i]] << 32) | sym[i])) is not None:
+                heapq.heappush(queue, (p[0], before[i]))
+        out = np.array(sym, np.int64)
+        return out[out >= 0]
+
     def pretokens(self, text: str) -> list[str]:
         """Pre-tokens of a text; special tokens, where they count, are single pre-tokens."""
         if self.splitter is None or not any(s in text for s in self.special):
@@ -139,7 +171,13 @@ class Bpe:
         cache = self.cache
         new = list({w for words in split for w in set(words) if w not in cache})
         local: dict[str, np.ndarray] = {}
-        plain = [w for w in new if not w.startswith("\0special")]
+        plain = []
+        for w in new:
+            if not w.startswith("\0special"):
+                if len(w) > LONG // 4 and len(b := w.encode()) > LONG:
+                    local[w] = self.merge_long(b).astype(np.int32)
+                else:
+                    plain.append(w)
         if plain:
             ids, counts = self.merge_rounds([w.encode() for w in plain])
             ends = np.cumsum(counts).tolist()

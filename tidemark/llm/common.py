@@ -69,13 +69,6 @@ class Workspace:
         return out
 
 
-def cut(df):
-    return Workspace(df.sparkSession).keep(df)
-
-
-write_shared = cut
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,15 +1,17 @@
 """Quality rules: robust multivariate outliers by minimum-covariance-determinant estimates per language and source.
 
-Statistics of the whole text are transformed into four features.  For each (language, source) the estimate starts from
-medians and quartile ranges; concentration steps then repeat "distances, least ``SUBSET`` of them, mean and covariance
-of those".  A text is rejected where its squared Mahalanobis distance is beyond ``CUTOFF``.
+Statistics of the whole text are transformed into four features.  For each (language, source) there are two starts: medians
+with quartile ranges, and the mean and covariance of all rows.  From each, concentration steps repeat "distances, least
+``SUBSET`` of them, mean and covariance of those" until no determinant changes (``MAX_STEPS`` at most); the estimate is the one
+of least determinant.  A text is rejected where its squared Mahalanobis distance is beyond ``CUTOFF``.
 
 All of it is DataFrame expressions.  A step is one pass over a few numbers a row and one aggregation by (group,
 distance bin): the rows of a hot group are summed before the shuffle, and no group is ever gathered.  Features are
 integers (thousandths), so that sums, and hence results, do not depend on the order of rows.  The concentration subset
 is cut at a bin edge, a few per cent beyond the exact share.
 
-Defined results: a null text has no words and fails the base rule; a null language or source is a group of its own;
+Defined results: a null text has no words and fails the base rule; so do empty ones; very long texts are read whole; an
+empty table has no rows; other columns, whatever their names, are not read; a null language or source is a group of its own;
 groups under MIN_GROUP rows are pooled by language, and where the pool is that small too, nothing is rejected; rows that
 repeat a document each get a row.
 """
@@ -19,14 +21,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import Workspace
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 SUBSET = 0.75
 #: Consistency factor for a subset of 0.75 in four dimensions, and the 0.99999 quantile of chi-square with four degrees.
 CONSISTENCY, CUTOFF = 1.49, 28.5
-STEPS = 4
+MAX_STEPS = 12
+FEW = 50_000  # parameters of so many groups are broadcast, more are joined by a shuffle
 MIN_GROUP = 100
 P = 4
 #: Least standard deviation of each feature (thousandths), so that a constant feature does not reject small changes.
@@ -116,61 +119,91 @@ def _start(used: DataFrame) -> DataFrame:
         for j in range(i + 1):
             var = F.pow((F.col(f"q3_{i}") - F.col(f"q1_{i}")) / 1.349, 2) + FLOOR[i] ** 2
             out[f"c{i}{j}"] = var if i == j else F.lit(0.0)
-    return wide.select("g", "n", *[c.alias(k) for k, c in out.items()])
+    return wide.select("g", F.lit(0).alias("start"), "n", *[c.alias(k) for k, c in out.items()])
+
+
+PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
+
+
+def _sums() -> list[Column]:
+    return [F.count(F.lit(1)).alias("k"), *[F.sum(f"f{i}").alias(f"s{i}") for i in range(P)], *[F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"s{i}{j}") for i, j in PAIRS]]
+
+
+def _moments(sums: DataFrame, factor: float) -> DataFrame:
+    """Mean and covariance from sums."""
+    out = {f"m{i}": F.col(f"s{i}") / F.col("k") for i in range(P)}
+    for i, j in PAIRS:
+        cov = (F.col(f"s{i}{j}").cast("double") - F.col(f"s{i}").cast("double") * F.col(f"s{j}") / F.col("k")) / F.col("k") * factor
+        out[f"c{i}{j}"] = cov + (FLOOR[i] ** 2 if i == j else 0.0)
+    return sums.select("g", "start", "n", *[c.alias(k) for k, c in out.items()])
+
+
+def _plain_start(used: DataFrame) -> DataFrame:
+    sums = used.groupBy("g").agg(*_sums())
+    return _moments(sums.withColumns({"start": F.lit(1), "n": F.col("k")}), 1.0)
 
 
 def _factor(params: DataFrame) -> DataFrame:
-    """Cholesky factor of the covariance, as columns."""
+    """Cholesky factor of the covariance, as columns, and the logarithm of its determinant."""
     for i in range(P):
         for j in range(i + 1):
             s = F.col(f"c{i}{j}")
             for k in range(j):
                 s = s - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             params = params.withColumn(f"l{i}{j}", F.sqrt(F.greatest(s, F.lit(1.0))) if i == j else s / F.col(f"l{j}{j}"))
-    return params.select("g", "n", *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)])
+    det = sum((F.log(f"l{i}{i}") for i in range(1, P)), F.log("l00"))
+    return params.select("g", "start", "n", det.alias("det"), *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i, j in PAIRS])
 
 
-def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
+def _distance(rows: DataFrame, factors: DataFrame, few: bool) -> DataFrame:
     """Add ``d2``, the squared distance of each row from its group's centre, by forward substitution."""
     own = rows.columns
-    rows = rows.join(_factor(params), "g", "left")
+    rows = rows.join(F.broadcast(factors) if few else factors, "g", "left")
     for i in range(P):
         y = F.col(f"f{i}") - F.col(f"m{i}")
         for k in range(i):
             y = y - F.col(f"l{i}{k}") * F.col(f"y{k}")
         rows = rows.withColumn(f"y{i}", y / F.col(f"l{i}{i}"))
     d2 = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, P)), F.col("y0") * F.col("y0"))
-    return rows.select(*own, "n", d2.alias("d2"))
+    return rows.select(*own, "start", "n", d2.alias("d2"))
 
 
-def _concentrate(used: DataFrame, params: DataFrame) -> DataFrame:
-    """One step: mean and covariance of the SUBSET of least distances of each group."""
-    pairs = [(i, j) for i in range(P) for j in range(i + 1)]
-    binned = _distance(used, params).withColumn("bin", F.floor(16 * F.log2(F.col("d2") + 0.001)))
-    sums = binned.groupBy("g", "bin").agg(
-        F.count(F.lit(1)).alias("k"), *[F.sum(f"f{i}").alias(f"s{i}") for i in range(P)], *[F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"s{i}{j}") for i, j in pairs]
-    )
-    w = Window.partitionBy("g")
+def _concentrate(used: DataFrame, factors: DataFrame, few: bool) -> DataFrame:
+    """One step: mean and covariance of the SUBSET of least distances of each group, from each of its starts."""
+    binned = _distance(used, factors, few).withColumn("bin", F.floor(16 * F.log2(F.col("d2") + 0.001)))
+    sums = binned.groupBy("g", "start", "bin").agg(*_sums())
+    w = Window.partitionBy("g", "start")
     kept = sums.withColumns({"before": F.sum("k").over(w.orderBy("bin")) - F.col("k"), "n": F.sum("k").over(w)}).where(F.col("before") < F.ceil(F.col("n") * SUBSET))
-    total = kept.groupBy("g").agg(F.max("n").alias("n"), F.sum("k").alias("k"), *[F.sum(c).alias(c) for c in (*[f"s{i}" for i in range(P)], *[f"s{i}{j}" for i, j in pairs])])
-    out = {f"m{i}": F.col(f"s{i}") / F.col("k") for i in range(P)}
-    for i, j in pairs:
-        cov = (F.col(f"s{i}{j}").cast("double") - F.col(f"s{i}").cast("double") * F.col(f"s{j}") / F.col("k")) / F.col("k") * CONSISTENCY
-        out[f"c{i}{j}"] = cov + (FLOOR[i] ** 2 if i == j else 0.0)
-    return total.select("g", "n", *[c.alias(k) for k, c in out.items()])
+    names = ["k", *[f"s{i}" for i in range(P)], *[f"s{i}{j}" for i, j in PAIRS]]
+    total = kept.groupBy("g", "start").agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in names])
+    return _moments(total, CONSISTENCY)
+
+
+def estimates(work: Workspace, used: DataFrame) -> tuple[DataFrame, bool]:
+    """(factors of the least determinant of each group, whether the groups are few)."""
+    factors = work.write(_factor(_start(used).unionByName(_plain_start(used))))
+    few = factors.count() <= FEW
+    for _ in range(MAX_STEPS):
+        new = work.write(_factor(_concentrate(used, factors, few)))
+        old = factors.select("g", "start", F.col("det").alias("old"))
+        settled = new.join(old, ["g", "start"]).where(F.abs(F.col("det") - F.col("old")) > 1e-9).isEmpty()
+        work.drop(factors)
+        factors = new
+        if settled:
+            break
+    best = factors.groupBy("g").agg(F.min(F.struct("det", "start")).alias("b")).select("g", F.col("b.start").alias("start"))
+    return work.write(factors.join(best, ["g", "start"]).select(*factors.columns)), few
 
 
 def quality(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float = CUTOFF) -> DataFrame:
     """Per row: doc_id, the base statistics, base_failed, kept, and the squared distance d2."""
-    stats = features(statistics(docs)).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    stats = cut(_groups(cut(stats), min_group))
-    used = stats.where(~F.col("base_failed")).select("g", *FEATURES)
-    params = cut(_start(used))
-    for _ in range(STEPS):
-        params = cut(_concentrate(used, params))
-    out = _distance(stats, params)
-    fine = F.col("n").isNull() | (F.col("n") < min_group) | (F.col("d2") <= cutoff)
-    return out.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & fine).alias("kept"), F.round("d2", 3).alias("d2"),
-    )
+    with Workspace(docs.sparkSession) as work:
+        stats = features(statistics(docs)).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+        stats = work.write(_groups(work.write(stats), min_group))
+        factors, few = estimates(work, stats.where(~F.col("base_failed")).select("g", *FEATURES))
+        out = _distance(stats, factors, few)
+        fine = F.col("n").isNull() | (F.col("n") < min_group) | (F.col("d2") <= cutoff)
+        return work.keep(out.select(
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+            (~F.col("base_failed") & fine).alias("kept"), F.round("d2", 3).alias("d2"),
+        ))

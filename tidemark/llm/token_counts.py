@@ -11,17 +11,21 @@ Files are tables of blocks, ``stream long, block long, tokens binary``, as ``wri
 vocabulary fits, else four.
 
 Defined results: an empty document has 0 tokens; two separators in a row enclose an empty document; tokens after the last
-separator of a stream are a last, unterminated document; an empty stream has none.
+separator of a stream are a last, unterminated document; an empty stream has none; null texts are empty documents; very long
+documents span as many blocks as they need; rows that repeat a document each get a row; an empty table has no rows; other
+columns are not read.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, write_shared
+from tidemark.llm.common import Workspace, list_array
 
 BLOCK_TOKENS = 65536
 GROUP = 1024
@@ -29,14 +33,35 @@ END_OF_DOCUMENT = 50256
 BLOCKS = "stream long, block long, tokens binary"
 
 
-def write_token_blocks(docs: DataFrame, vocabulary: str | None = None, end: int = END_OF_DOCUMENT, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
+def token_width(path: str | None = None, end: int = END_OF_DOCUMENT) -> int:
+    """Bytes of an id: two where all ids of the vocabulary and the separator fit."""
+    from tidemark.llm.bpe import default_vocabulary
+
+    with open(path or default_vocabulary(), encoding="utf-8") as f:
+        spec = json.load(f)
+    top = max([end, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+    return 2 if top < 1 << 16 else 4
+
+
+KINDS = {2: "<u2", 4: "<u4"}
+
+
+def write_token_blocks(
+    work: Workspace, docs: DataFrame, vocabulary: str | None = None, end: int = END_OF_DOCUMENT, block_tokens: int = BLOCK_TOKENS, width: int = 2
+) -> tuple[DataFrame, DataFrame]:
     """(blocks, order): the texts as flat token files, one stream a partition, and (stream, ordinal, doc_id), the order
-    in which documents were written.  Texts are ordinary text: a special token's name in one is no separator."""
+    in which documents were written.  Texts are ordinary text: a special token's name in one is no separator.  An id that
+    ``width`` bytes cannot hold is an error."""
     from tidemark.llm.bpe import shared_bpe, vocabulary_broadcast
     from tidemark.llm.common import blocks as text_blocks
 
     vocab = vocabulary_broadcast(docs.sparkSession, vocabulary)
 
+    def packed(tokens: np.ndarray) -> bytes:
+        if len(tokens) and not 0 <= tokens.min() <= tokens.max() < 1 << (8 * width):
+            raise ValueError(f"token id {tokens.max()} does not fit {width} bytes")
+        return tokens.astype(KINDS[width]).tobytes()
+
     def run(batches):
         from pyspark import TaskContext
 
@@ -47,7 +72,7 @@ def write_token_blocks(docs: DataFrame, vocabulary: str | None = None, end: int
 
         def row(tokens: np.ndarray):
             return pa.RecordBatch.from_arrays(
-                [pa.array([stream], pa.int64()), pa.array([block], pa.int64()), pa.array([tokens.astype("<u2").tobytes()], pa.binary()), pa.array([ordinal - len(ids)], pa.int64()), pa.array([ids], pa.list_(pa.int64()))],
+                [pa.array([stream], pa.int64()), pa.array([block], pa.int64()), pa.array([packed(tokens)], pa.binary()), pa.array([ordinal - len(ids)], pa.int64()), pa.array([ids], pa.list_(pa.int64()))],
                 ["stream", "block", "tokens", "first", "doc_ids"],
             )
 
@@ -70,7 +95,7 @@ def write_token_blocks(docs: DataFrame, vocabulary: str | None = None, end: int
             yield row(np.concatenate(held) if held else np.empty(0, np.int32))
 
     cols = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
-    written = write_shared(docs.select(*cols).mapInArrow(run, f"{BLOCKS}, first long, doc_ids array<long>"))
+    written = work.write(docs.select(*cols).mapInArrow(run, f"{BLOCKS}, first long, doc_ids array<long>"))
     order = written.select("stream", "first", F.posexplode("doc_ids").alias("i", "doc_id")).select("stream", (F.col("first") + F.col("i")).alias("ordinal"), "doc_id")
     return written.select("stream", "block", "tokens"), order
 
@@ -85,7 +110,7 @@ def blocks_of_files(spark: SparkSession, path: str, block_bytes: int = 2 * BLOCK
 
 def scan_blocks(blocks: DataFrame, end: int = END_OF_DOCUMENT, width: int = 2) -> DataFrame:
     """(stream, block, n, ends): number of tokens, and the places of the separators in the block."""
-    kind = {2: "<u2", 4: "<u4"}[width]
+    kind = KINDS[width]
 
     def run(batches):
         for batch in batches:
@@ -96,8 +121,6 @@ def scan_blocks(blocks: DataFrame, end: int = END_OF_DOCUMENT, width: int = 2) -
                 places.append(at.astype(np.int32))
                 sizes.append(len(at))
                 n.append(len(t))
-            from tidemark.llm.common import list_array
-
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), list_array(pa.array(np.concatenate(places) if places else np.empty(0, np.int32)), np.array(sizes, np.int64))], ["stream", "block", "n", "ends"])
 
     return blocks.select("stream", "block", "tokens").mapInArrow(run, "stream long, block long, n long, ends array<int>")
@@ -107,9 +130,9 @@ def _before(value: Column, how, w) -> Column:
     return how(value).over(w.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def document_lengths(scanned: DataFrame) -> DataFrame:
+def document_lengths(work: Workspace, scanned: DataFrame) -> DataFrame:
     """(stream, ordinal, start, n_tokens, terminated): the documents of each stream, from the scanned blocks."""
-    b = cut(scanned.withColumn("g", F.floor(F.col("block") / GROUP)).withColumn("k", F.size("ends").cast("long")))
+    b = work.write(scanned.withColumn("g", F.floor(F.col("block") / GROUP)).withColumn("k", F.size("ends").cast("long")))
     # Places of separators count from the stream's start; at the group level from the group's start, added later.
     w = Window.partitionBy("stream", "g").orderBy("block")
     local = b.withColumns({"at": F.coalesce(_before(F.col("n"), F.sum, w), F.lit(0)), "docs": F.coalesce(_before(F.col("k"), F.sum, w), F.lit(0))})
@@ -132,5 +155,8 @@ def document_lengths(scanned: DataFrame) -> DataFrame:
 
 def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, stream, ordinal, start: written as flat files, then counted from these."""
-    blocks, order = write_token_blocks(docs, vocabulary)
-    return order.join(document_lengths(scan_blocks(blocks)), ["stream", "ordinal"]).select("doc_id", "n_tokens", "stream", "ordinal", "start")
+    with Workspace(docs.sparkSession) as work:
+        width = token_width(vocabulary)
+        blocks, order = write_token_blocks(work, docs, vocabulary, width=width)
+        lengths = document_lengths(work, scan_blocks(blocks, width=width))
+        return work.keep(order.join(lengths, ["stream", "ordinal"]).select("doc_id", "n_tokens", "stream", "ordinal", "start"))

@@ -12,7 +12,9 @@ level by level (Kahn), by joins, however long the conversation.
 Defined results: rows without a conversation or identifier are kept under a null key and never link; of repeated calls
 or results the one with the least position counts, and the numbers of both are reported; a call without a result is
 "unanswered", a result without a call is an "orphan" with null name; arguments that are not a JSON object are an error
-of the call; a dependency that does not exist is an error and does not order anything; calls on a cycle have no order.
+of the call; a dependency that does not exist is an error and does not order anything; calls on a cycle have no order; very
+long arguments and results are kept whole; empty tables give no rows; columns beyond the named ones, whatever their names,
+are not read.
 """
 
 from __future__ import annotations
@@ -20,15 +22,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import Workspace
 
 CALLS = "conv_id long, call_id string, position long, name string, arguments string, depends_on array<string>"
 RESULTS = "conv_id long, call_id string, position long, content string"
 #: A row for each field of each tool: type is a SQL type name as schema_of_variant gives it.
 SCHEMAS = "name string, field string, type string, required boolean"
 
-ORDER_SQL_TYPES = ("STRING", "BIGINT", "DOUBLE", "DECIMAL", "BOOLEAN", "OBJECT", "ARRAY")
-
 
 def _first_of(df: DataFrame, fields: list[str], n: str) -> DataFrame:
     """One row for each (conv_id, call_id): the row of least position (ties: least content), and the number of rows."""
@@ -66,7 +66,7 @@ def validate(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     return known.withColumn("errors", F.coalesce(errors, F.array().cast("array<string>"))).drop("fields")
 
 
-def topological_order(calls: DataFrame) -> DataFrame:
+def topological_order(work: Workspace, calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, topo, dangling): ``topo`` increases along every dependency; null on a cycle."""
     nodes = calls.select("conv_id", "call_id", "position")
     wanted = calls.select("conv_id", "call_id", "position", F.explode(F.array_distinct("depends_on")).alias("needs"))
@@ -74,20 +74,20 @@ def topological_order(calls: DataFrame) -> DataFrame:
     edges = wanted.join(target, ["conv_id", "needs"], "left")
     dangling = edges.where(F.col("needs_position").isNull()).groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("dangling"))
     edges = edges.where(F.col("needs_position").isNotNull())
-    backward = cut(edges.where(F.col("needs_position") >= F.col("position")).select("conv_id").distinct())
+    backward = work.write(edges.where(F.col("needs_position") >= F.col("position")).select("conv_id").distinct())
     topo = nodes.withColumn("topo", F.col("position"))
     if not backward.isEmpty():
-        hard = cut(nodes.join(backward, "conv_id", "left_semi"))
-        left = cut(edges.join(backward, "conv_id", "left_semi").select("conv_id", "call_id", "needs"))
+        hard = work.write(nodes.join(backward, "conv_id", "left_semi"))
+        left = work.write(edges.join(backward, "conv_id", "left_semi").select("conv_id", "call_id", "needs"))
         done, level = None, 0
         todo = hard
         while True:
-            ready = cut(todo.join(left, ["conv_id", "call_id"], "left_anti").select("conv_id", "call_id", F.lit(level).cast("long").alias("topo")))
+            ready = work.write(todo.join(left, ["conv_id", "call_id"], "left_anti").select("conv_id", "call_id", F.lit(level).cast("long").alias("topo")))
             if ready.isEmpty():
                 break
-            done = ready if done is None else cut(done.unionByName(ready))
-            todo = cut(todo.join(ready, ["conv_id", "call_id"], "left_anti"))
-            left = cut(left.join(ready.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"], "left_anti"))
+            done = ready if done is None else work.write(done.unionByName(ready))
+            todo = work.write(todo.join(ready, ["conv_id", "call_id"], "left_anti"))
+            left = work.write(left.join(ready.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"], "left_anti"))
             level += 1
         cyclic = todo.select("conv_id", "call_id", F.lit(None).cast("long").alias("topo"))
         peeled = cyclic if done is None else done.unionByName(cyclic)
@@ -99,10 +99,15 @@ def topological_order(calls: DataFrame) -> DataFrame:
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """A row per call identifier, and one per orphan result."""
+    with Workspace(calls.sparkSession) as work:
+        return work.keep(_linked(work, calls, results, schemas))
+
+
+def _linked(work: Workspace, calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     one_call = _first_of(calls, ["name", "arguments", "depends_on"], "n_calls")
     one_result = _first_of(results, ["content"], "n_results").withColumnRenamed("position", "result_position")
     checked = validate(one_call, schemas)
-    order = topological_order(one_call)
+    order = topological_order(work, one_call)
     ordered = checked.join(order, ["conv_id", "call_id"], "left")
     both = ordered.join(one_result, ["conv_id", "call_id"], "full_outer")
     orphan = F.col("n_calls").isNull()
@@ -130,6 +135,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
 def from_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Each user turn is a call of the tool "reply", each system turn one of "configure"; the assistant turn that follows
     a call's turn is its result; a user turn depends on the user turn two before it, a first one on turn 0's system turn.
+    Some arguments do not fit the tools' schema: where the turn leaves 3 by division by 5, n_chars is text; where it leaves
+    4, there is a "question" in the place of the "prompt".
     """
     c = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")
@@ -138,7 +145,10 @@ def from_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame,
     def name(turn: Column) -> Column:
         return F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
 
-    args = F.to_json(F.struct(F.col("turn").alias("turn"), F.col("text").alias("prompt"), F.length("text").alias("n_chars")))
+    n_chars, text, rest = F.length("text"), F.col("text"), F.col("turn") % 5
+    args = F.when(rest == 3, F.to_json(F.struct("turn", text.alias("prompt"), n_chars.cast("string").alias("n_chars"))))
+    args = args.when(rest == 4, F.to_json(F.struct("turn", text.alias("question"), n_chars.alias("n_chars"))))
+    args = args.otherwise(F.to_json(F.struct("turn", text.alias("prompt"), n_chars.alias("n_chars"))))
     parent = F.when(F.col("turn") >= 2, F.array(name(F.col("turn") - 2))).otherwise(F.array().cast("array<string>"))
     user = F.col("role") == "user"
     calls = c.where(F.col("role").isin("user", "system")).select(
@@ -163,12 +173,14 @@ r AS (SELECT conv_id, 'c' || conv_id || '-' || (turn - 1) AS call_id, min(turn)
 l AS (SELECT c.*, c.depends AND p.call_id IS NULL AS dangling FROM c LEFT JOIN c p ON c.conv_id = p.conv_id AND p.position = c.position - 2),
 e AS (SELECT coalesce(l.conv_id, r.conv_id) AS conv_id, coalesce(l.call_id, r.call_id) AS call_id, l.position, r.result_position, l.role, l.text, r.content,
         coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
-        concat_ws('; ', CASE WHEN n_calls IS NULL THEN 'orphan result' END, CASE WHEN n_calls IS NOT NULL AND n_results IS NULL THEN 'unanswered' END,
+        concat_ws('; ', CASE WHEN n_calls IS NULL THEN NULL WHEN position % 5 = 3 THEN 'wrong type of n_chars' WHEN position % 5 = 4 THEN 'missing prompt; unknown question' END,
+            CASE WHEN n_calls IS NULL THEN 'orphan result' END, CASE WHEN n_calls IS NOT NULL AND n_results IS NULL THEN 'unanswered' END,
             CASE WHEN dangling THEN 'dangling dependency' END, CASE WHEN n_calls > 1 THEN 'repeated call' END, CASE WHEN n_results > 1 THEN 'repeated result' END) AS errors
     FROM l FULL OUTER JOIN r ON l.conv_id = r.conv_id AND l.call_id = r.call_id)
 SELECT conv_id, call_id, position AS topo, CASE role WHEN 'user' THEN 'reply' WHEN 'system' THEN 'configure' END AS name, position, result_position,
     n_calls, n_results, errors = '' AS valid, errors,
-    '{"arguments":' || coalesce('{"n_chars":' || length(text) || ',"prompt":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || position || '}', 'null')
+    '{"arguments":' || coalesce('{"n_chars":' || CASE WHEN position % 5 = 3 THEN '"' || length(text) || '"' ELSE CAST(length(text) AS VARCHAR) END
+        || CASE WHEN position % 5 = 4 THEN ',"question":' ELSE ',"prompt":' END || CAST(to_json(text) AS VARCHAR) || ',"turn":' || position || '}', 'null')
     || ',"id":' || CAST(to_json(call_id) AS VARCHAR) || ',"name":' || coalesce('"' || CASE role WHEN 'user' THEN 'reply' WHEN 'system' THEN 'configure' END || '"', 'null')
     || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS canonical
 FROM e

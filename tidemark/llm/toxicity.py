@@ -9,7 +9,9 @@ that sample is gathered on the driver, and its size does not grow with the data.
 without a shuffle.  Labels, language, source and id are never inputs of a score.
 
 Defined results: a null, empty or wordless text has no sentences and scores 0; without labelled documents of both
-classes every score is 0; contradictory labels of one id count as toxic; rows that repeat a document each get a row.
+classes every score is 0; contradictory labels of one id count as toxic; rows that repeat a document each get a row; very
+long texts are scored whole; an empty table has no rows; other columns, whatever their names, are not read, and kept by
+``drop_toxic``.
 """
 
 from __future__ import annotations
