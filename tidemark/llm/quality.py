@@ -60,26 +60,37 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("h"),
     )
-    return d.withColumn("n_repeat_words", repeated_words(d)).drop("h")
+    return repeated_words(d)
 
 
-def repeated_words(d: DataFrame) -> Column:
-    """Words inside three-word windows that stand twice or more in the text, from the array ``h`` of word hashes.
+def repeated_words(d: DataFrame) -> DataFrame:
+    """``n_repeat_words`` in place of the array ``h`` of word hashes: words inside three-word windows that stand twice or more
+    in the text.
 
-    Windows are sorted by (hash of the three, position); windows with an equal neighbour are repeated; their positions
-    in order give the number of words they cover.
+    Most texts have no window twice, which a set of their hashes ``k`` tells.  In the others, the windows' hashes are sorted as
+    numbers with the position in their low bits; those with a neighbour of equal high bits, a superset of the repeated
+    ones, are sorted again by (whole hash, position).  The positions that remain, in order, give the number of words they cover.
     """
-    return F.expr("""
-        CASE WHEN size(h) < 3 THEN 0L ELSE aggregate(
+    own = [c for c in d.columns if c != "h"]
+    k = F.expr("CASE WHEN size(h) < 3 THEN cast(array() AS array<bigint>) ELSE transform(slice(h, 1, size(h) - 2), (x, i) -> xxhash64(x, h[i + 1], h[i + 2])) END")
+    d = d.select(*own, k.alias("k")).withColumn("low", F.expr("cast(ceil(log2(size(k) + 1)) AS int)"))
+    packed = F.expr("""
+        CASE WHEN size(array_distinct(k)) = size(k) THEN cast(array() AS array<bigint>)
+        ELSE sort_array(transform(k, (x, i) -> (x & shiftleft(-1L, low)) | cast(i AS bigint))) END""")
+    d = d.select(*own, "k", "low", packed.alias("s"))
+    likely = F.expr("""
+        sort_array(transform(
+            filter(s, (x, j) -> (j > 0 AND shiftright(x, low) = shiftright(s[j - 1], low)) OR (j < size(s) - 1 AND shiftright(x, low) = shiftright(s[j + 1], low))),
+            x -> named_struct('k', k[cast(x & (shiftleft(1L, low) - 1L) AS int)], 'p', cast(x & (shiftleft(1L, low) - 1L) AS int))))""")
+    d = d.select(*own, likely.alias("s"))
+    return d.select(*own, F.expr("""
+        aggregate(
             sort_array(transform(
-                aggregate(array(sort_array(transform(sequence(0, size(h) - 3),
-                        i -> named_struct('k', xxhash64(h[i], h[i + 1], h[i + 2]), 'p', i)))),
-                    cast(array() as array<struct<k: bigint, p: int>>),
-                    (acc, s) -> filter(s, (x, j) -> (j > 0 AND x.k = s[j - 1].k) OR (j < size(s) - 1 AND x.k = s[j + 1].k))),
+                filter(s, (x, j) -> (j > 0 AND x.k = s[j - 1].k) OR (j < size(s) - 1 AND x.k = s[j + 1].k)),
                 x -> x.p)),
             named_struct('c', 0L, 'e', -1),
             (a, p) -> named_struct('c', a.c + least(3, p + 2 - a.e), 'e', p + 2),
-            a -> a.c) END""")
+            a -> a.c)""").alias("n_repeat_words"))
 
 
 def features(stats: DataFrame) -> DataFrame:
@@ -119,7 +130,7 @@ def _start(used: DataFrame) -> DataFrame:
         for j in range(i + 1):
             var = F.pow((F.col(f"q3_{i}") - F.col(f"q1_{i}")) / 1.349, 2) + FLOOR[i] ** 2
             out[f"c{i}{j}"] = var if i == j else F.lit(0.0)
-    return wide.select("g", F.lit(0).alias("start"), "n", *[c.alias(k) for k, c in out.items()])
+    return wide.select("g", F.lit(0).alias("start"), "n", F.lit(None).cast("double").alias("old"), *[c.alias(k) for k, c in out.items()])
 
 
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
@@ -130,17 +141,17 @@ def _sums() -> list[Column]:
 
 
 def _moments(sums: DataFrame, factor: float) -> DataFrame:
-    """Mean and covariance from sums."""
+    """Mean and covariance from sums; ``old`` is the logarithm of the determinant before."""
     out = {f"m{i}": F.col(f"s{i}") / F.col("k") for i in range(P)}
     for i, j in PAIRS:
         cov = (F.col(f"s{i}{j}").cast("double") - F.col(f"s{i}").cast("double") * F.col(f"s{j}") / F.col("k")) / F.col("k") * factor
         out[f"c{i}{j}"] = cov + (FLOOR[i] ** 2 if i == j else 0.0)
-    return sums.select("g", "start", "n", *[c.alias(k) for k, c in out.items()])
+    return sums.select("g", "start", "n", "old", *[c.alias(k) for k, c in out.items()])
 
 
 def _plain_start(used: DataFrame) -> DataFrame:
     sums = used.groupBy("g").agg(*_sums())
-    return _moments(sums.withColumns({"start": F.lit(1), "n": F.col("k")}), 1.0)
+    return _moments(sums.withColumns({"start": F.lit(1), "n": F.col("k"), "old": F.lit(None).cast("double")}), 1.0)
 
 
 def _factor(params: DataFrame) -> DataFrame:
@@ -152,7 +163,7 @@ def _factor(params: DataFrame) -> DataFrame:
                 s = s - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             params = params.withColumn(f"l{i}{j}", F.sqrt(F.greatest(s, F.lit(1.0))) if i == j else s / F.col(f"l{j}{j}"))
     det = sum((F.log(f"l{i}{i}") for i in range(1, P)), F.log("l00"))
-    return params.select("g", "start", "n", det.alias("det"), *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i, j in PAIRS])
+    return params.select("g", "start", "n", "old", det.alias("det"), *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i, j in PAIRS])
 
 
 def _distance(rows: DataFrame, factors: DataFrame, few: bool) -> DataFrame:
@@ -165,17 +176,17 @@ def _distance(rows: DataFrame, factors: DataFrame, few: bool) -> DataFrame:
             y = y - F.col(f"l{i}{k}") * F.col(f"y{k}")
         rows = rows.withColumn(f"y{i}", y / F.col(f"l{i}{i}"))
     d2 = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, P)), F.col("y0") * F.col("y0"))
-    return rows.select(*own, "start", "n", d2.alias("d2"))
+    return rows.select(*own, "start", "n", "det", d2.alias("d2"))
 
 
 def _concentrate(used: DataFrame, factors: DataFrame, few: bool) -> DataFrame:
     """One step: mean and covariance of the SUBSET of least distances of each group, from each of its starts."""
     binned = _distance(used, factors, few).withColumn("bin", F.floor(16 * F.log2(F.col("d2") + 0.001)))
-    sums = binned.groupBy("g", "start", "bin").agg(*_sums())
+    sums = binned.groupBy("g", "start", "bin").agg(*_sums(), F.max("det").alias("old"))
     w = Window.partitionBy("g", "start")
     kept = sums.withColumns({"before": F.sum("k").over(w.orderBy("bin")) - F.col("k"), "n": F.sum("k").over(w)}).where(F.col("before") < F.ceil(F.col("n") * SUBSET))
     names = ["k", *[f"s{i}" for i in range(P)], *[f"s{i}{j}" for i, j in PAIRS]]
-    total = kept.groupBy("g", "start").agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in names])
+    total = kept.groupBy("g", "start").agg(F.max("n").alias("n"), F.max("old").alias("old"), *[F.sum(c).alias(c) for c in names])
     return _moments(total, CONSISTENCY)
 
 
@@ -185,8 +196,7 @@ def estimates(work: Workspace, used: DataFrame) -> tuple[DataFrame, bool]:
     few = factors.count() <= FEW
     for _ in range(MAX_STEPS):
         new = work.write(_factor(_concentrate(used, factors, few)))
-        old = factors.select("g", "start", F.col("det").alias("old"))
-        settled = new.join(old, ["g", "start"]).where(F.abs(F.col("det") - F.col("old")) > 1e-9).isEmpty()
+        settled = new.where(F.abs(F.col("det") - F.col("old")) > 1e-9).isEmpty()
         work.drop(factors)
         factors = new
         if settled:
