@@ -632,3 +632,29 @@ def test_queries_with_sql_match(spark):
         assert sorted(cols) == sorted(df.columns), name
         want = sorted(repr([r[cols.index(c)] for c in sorted(cols)]) for r in cur.fetchall())
         assert sorted(repr([r[c] for c in sorted(cols)]) for r in df.collect()) == want, name
+
+
+def test_language_model_learns_from_every_training_text(spark, monkeypatch):
+    """Each training text, in full, is learned from in one of the rounds; repeated ones as often as they are there."""
+    rows = [(i, f"word{i % 97} " * (i % 9 + 1) + f"only{i}") for i in range(300)] + [(1000 + i, "the same text") for i in range(20)]
+    rows += [(2000, " ".join(f"long{i % 700}" for i in range(3000))), (2001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    seen, train = [], language_model._train
+
+    def spy(work, texts, model, ids, rate):
+        seen.extend(r["text"] for r in texts.collect())
+        return train(work, texts, model, ids, rate)
+
+    monkeypatch.setattr(language_model, "_train", spy)
+    language_model.language_model_scores(docs).collect()
+    assert sorted(seen) == sorted(t for i, t in rows if t is not None and zlib.crc32(str(i).encode()) % 5 != 1)
+
+
+def test_training_takes_whole_texts_in_pieces(monkeypatch):
+    monkeypatch.setattr(language_model, "PIECE", 4)
+    trainer = language_model.Trainer(language_model.Gru(np.array([50.0, 30, 20, 10]), 4.0, hidden=4, classes=2), 0.01)
+    texts = [np.array([1, 2, 3, 1, 2, 3, 1, 2, 0]), np.array([3, 0])]
+    trainer.fit(texts, 0)
+    assert trainer.seen == 11
+    ids, targets, fresh, _ = language_model.side_by_side([texts[0][:4], texts[0][4:8]], 0, 2, [0, 1])
+    assert (ids[0].tolist(), ids[1].tolist(), targets[0].tolist(), fresh.sum()) == ([0, 1], [1, 2], [1, 2], 2)

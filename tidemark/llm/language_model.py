@@ -5,12 +5,12 @@ factored into classes of like frequency, P(word) = P(class | state) P(word | cla
 other words; within it a word has its smoothed share of their training counts, with one place for words never seen.  So
 the probabilities of all words, seen or not, sum to one.
 
-Training: the counts and every output bias come from all training texts.  The recurrent weights are fitted by truncated
-backpropagation (windows of ``WINDOW`` words, state carried across windows, no tail left out) on one training text of
-``EVERY``, chosen by a hash of its content, equal texts once: that share is the same at every size, so what is learned from
-grows with the input (the README has the cost of a whole pass).  Each partition trains a copy of the model over its texts;
-the copies and the model before (as ``PRIOR`` words) are averaged by their words, summed in groups of ``GROUP`` so that no task or driver holds more than that many;
-rounds of this follow each other, one for each of ``RATES``.
+Training: the counts and every output bias come from all training texts, and so do the recurrent weights, by truncated
+backpropagation (windows of ``WINDOW`` words, state carried across the windows of a piece, no tail left out).  There is a round for each of
+``RATES``; a hash of its content tells the round that learns from a text, so that all together are one pass over all training
+texts, repeated ones included.  In a round each partition trains a copy of the model over its texts; the copies and the model before (as
+``PRIOR`` words) are averaged by their words, summed in groups of ``GROUP`` so that no task holds more than that many, and the
+driver one.  Partitions are joined where they would have fewer than ``LEAST_TOKENS`` words.
 
 Scoring: texts of a block run side by side in slots, each slot one text after another, the state carried across windows
 and reset at a new text.  Counts of words outside the broadcast dictionary (``COUNTED`` most frequent words) are looked
@@ -40,13 +40,14 @@ CLASSES = 48
 HIDDEN = 24
 WINDOW = 24
 SCORE_WINDOW = 64
-EVERY = 6
 RATES = (0.01, 0.004)  # of each round
 LEAST_STEPS = 60  # a task with few texts passes over them until it has made so many steps
-TRAIN_TOKENS = 150_000  # words that a task holds at a time
+TRAIN_TOKENS = 400_000  # words that a task holds at a time
+LEAST_TOKENS = 250_000  # words of a round that a task has on average, where there are so many
 PRIOR = 30_000  # words that the model before a round counts for in the average, so that few texts change little
 GROUP = 16
-STREAMS = 64
+STREAMS = 128
+PIECE = 256
 SLOTS = 192
 FLUSH = 200_000
 END = b""  # stands for the end of a text; no word is empty
@@ -255,11 +256,14 @@ class Trainer:
         self.m, self.v = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
 
     def fit(self, texts: list[np.ndarray], end: int, streams: int = STREAMS) -> None:
-        """One pass over whole texts, to the end of the longest."""
+        """One pass over all words of the texts, in pieces of up to PIECE words so that no long text runs on alone; a later piece
+        starts from the word before it."""
         if not texts:
             return
         model = self.model
-        ids, targets, fresh, _ = side_by_side(texts, end, streams)
+        pieces = [t[i : i + PIECE] for t in texts for i in range(0, len(t), PIECE)]
+        before = [int(t[i - 1]) if i else end for t in texts for i in range(0, len(t), PIECE)]
+        ids, targets, fresh, _ = side_by_side(pieces, end, streams, before)
         state = np.zeros((ids.shape[1], model.h), np.float32)
         for t in range(0, len(ids), WINDOW):
             window = slice(t, t + WINDOW)
@@ -282,9 +286,10 @@ def _logsumexp(a: np.ndarray) -> np.ndarray:
     return top + np.log(np.exp(a - top[:, None]).sum(1))
 
 
-def side_by_side(texts: list[np.ndarray], end: int, slots: int):
+def side_by_side(texts: list[np.ndarray], end: int, slots: int, before: list[int] | None = None):
     """(ids, targets, fresh, owner), each (time, slot): texts dealt to slots, the longest first to the emptiest slot;
-    slots in order of length, so that those in use are always the first ones.  Unused places have target -1."""
+    slots in order of length, so that those in use are always the first ones.  Unused places have target -1.  A text's
+    first word comes after the one in ``before``, else after an end."""
     slots = max(1, min(slots, len(texts)))
     sizes = [len(t) for t in texts]
     heap = [(0, s) for s in range(slots)]
@@ -303,7 +308,7 @@ def side_by_side(texts: list[np.ndarray], end: int, slots: int):
             to = at + sizes[i]
             targets[at:to, s] = texts[i]
             ids[at + 1 : to, s] = texts[i][:-1]
-            ids[at, s] = end
+            ids[at, s] = before[i] if before else end
             fresh[at, s] = True
             owner[at:to, s] = i
             at = to
@@ -353,11 +358,11 @@ def _train(work: Workspace, texts: DataFrame, model: Gru, ids: dict[bytes, int],
 
     schema = "part long, n long, sums binary"
     sums = work.write(texts.select("text").mapInArrow(run, schema))
-    while (rows := sums.count()) > GROUP:
-        sums = work.write(sums.groupBy(F.pmod(F.xxhash64("part"), F.lit(rows // GROUP + 1))).applyInArrow(add, schema))
-    rows = sorted(sums.collect(), key=lambda r: r["part"])  # GROUP models at most
-    if rows:
-        total, n, at = sum(np.frombuffer(r["sums"]) for r in rows), sum(r["n"] for r in rows), 0
+    while (rows := sums.count()) > 1:
+        sums = work.write(sums.groupBy(F.pmod(F.xxhash64("part"), F.lit(rows // GROUP + 1 if rows > GROUP else 1))).applyInArrow(add, schema))
+    row = sums.first()
+    if row:
+        total, n, at = np.frombuffer(row["sums"]), row["n"], 0
         model = copy.deepcopy(model)
         for k, v in model.p.items():
             model.p[k] = ((total[at : at + v.size] + PRIOR * v.ravel()) / (n + PRIOR)).astype(v.dtype).reshape(v.shape)
@@ -382,10 +387,9 @@ def fit(work: Workspace, docs: DataFrame) -> tuple[Scorer, DataFrame]:
     n_rare, v_rare = n - sum(c for w, c in head if c >= 1), v - sum(1 for w, c in head if c >= 1)
     model = Gru(counts, n_rare)
     text = F.col("text").cast("string").alias("text")
-    chosen = training.where(F.col("text").isNotNull()).select(text, F.xxhash64(text).alias("h")).where(F.pmod("h", F.lit(EVERY)) == 0)
-    chosen = work.write(chosen.dropDuplicates(["h"]).select("text"))
-    for rate in RATES:
-        model = _train(work, chosen, model, ids, rate)
+    texts = training.where(F.col("text").isNotNull()).select(text).coalesce(max(1, n // (LEAST_TOKENS * len(RATES))))
+    for i, rate in enumerate(RATES):
+        model = _train(work, texts.where(F.pmod(F.xxhash64("text"), F.lit(len(RATES))) == i), model, ids, rate)
     known = {w: c for w, c in rows}
     tail = vocab.join(F.broadcast(vocab.sparkSession.createDataFrame([(w,) for w in known], "word binary")), "word", "left_anti") if len(rows) == COUNTED else vocab.limit(0)
     return Scorer(model, ids, known, n, v, n_rare, v_rare), tail
@@ -407,11 +411,16 @@ def score(work: Workspace, docs: DataFrame, scorer: Scorer, tail: DataFrame) ->
 
         s = shared.value
         part, done = TaskContext.get().partitionId(), 0
-        ids, counts, model, other = s.ids, s.counts, s.model, s.other
+        ids, model, other = s.ids, s.model, s.other
         end = ids[END]
-        rare_log = {w: (np.log10(c + 0.5) - s.rare_total) for w, c in counts.items() if w not in ids}
-        base_log = {w: (np.log10(c + 0.5) - s.base_total) for w, c in counts.items()}
-        end_base, end_known = base_log.get(END, np.log10(0.5) - s.base_total), int(END in counts)
+        # Each counted word's place, and by place its logs and its id; words not counted have the last place.
+        place = {w: i for i, w in enumerate(s.counts)}
+        none = len(place)
+        logs = np.log10(np.array([*s.counts.values()], float) + 0.5)
+        base_log = np.append(logs - s.base_total, 0.0)
+        id_of = np.array([*(ids.get(w, other) for w in place), other], np.int32)
+        rare_log = np.where(id_of == other, np.append(logs - s.rare_total, 0.0), 0.0)
+        end_base, end_known = (base_log[place[END]], 1) if END in place else (np.log10(0.5) - s.base_total, 0)
         from tidemark.llm import common
 
         for batch in batches:
@@ -419,14 +428,14 @@ def score(work: Workspace, docs: DataFrame, scorer: Scorer, tail: DataFrame) ->
                 texts, n_tokens, n_known, base, rare, words, tfs, sizes = [], [], [], [], [], [], [], []
                 for t in _texts(block.column(1)):
                     w = words_of(t)
-                    texts.append(np.array([ids.get(x, other) for x in w] + [end], np.int32))
-                    logs = [base_log.get(x) for x in w]
-                    unknown = Counter(x for x, y in zip(w, logs, strict=True) if y is None)
-                    missing = sum(unknown.values())
-                    base.append(sum(y for y in logs if y is not None) + end_base)
-                    rare.append(sum(map(rare_log.__getitem__, filter(rare_log.__contains__, w))))
+                    at = np.array([place.get(x, none) for x in w], np.int32)
+                    texts.append(np.append(id_of[at], np.int32(end)))
+                    missing = np.flatnonzero(at == none).tolist()
+                    unknown = Counter([w[i] for i in missing])
+                    base.append(float(base_log[at].sum()) + end_base)
+                    rare.append(float(rare_log[at].sum()))
                     n_tokens.append(len(w) + 1)
-                    n_known.append(len(w) - missing + end_known)
+                    n_known.append(len(w) - len(missing) + end_known)
                     words += unknown.keys()
                     tfs += unknown.values()
                     sizes.append(len(unknown))
