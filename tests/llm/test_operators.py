@@ -658,3 +658,29 @@ def test_training_takes_whole_texts_in_pieces(monkeypatch):
     assert trainer.seen == 11
     ids, targets, fresh, _ = language_model.side_by_side([texts[0][:4], texts[0][4:8]], 0, 2, [0, 1])
     assert (ids[0].tolist(), ids[1].tolist(), targets[0].tolist(), fresh.sum()) == ([0, 1], [1, 2], [1, 2], 2)
+
+
+def test_edited_repeats_neither_of_which_is_the_first_holder(spark):
+    """Documents 1 to 6 hold pieces of a passage, too short to be repeats of it, and are the first holders of its keys; the
+    passage itself is in two later documents, with a word changed in every 40."""
+    rng = random.Random(11)
+    words = lambda n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(n)]
+    passage = words(120)
+    edited = [*passage]
+    for i in (38, 79):
+        edited[i] = "changed"
+    rows = [(i + 1, " ".join([*words(30), *passage[a : a + 40], *words(30)])) for i, a in enumerate(range(0, 81, 16))]
+    rows += [(20, " ".join([*words(50), *passage, *words(50)])), (30, " ".join([*words(70), *edited, *words(50)]))]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["cluster_doc"], r["keep"]) for r in got) == [(20, 20, True), (30, 20, False)]
+    assert {r["start_word"] for r in got} == {50, 70} and all(r["n_words"] >= 115 for r in got)
+
+
+def test_runs_near_the_start_of_a_text_are_all_kept(spark):
+    """Two runs that both reach back to the first word are told apart."""
+    rng = random.Random(12)
+    words = lambda n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(n)]
+    line, passage = words(16), words(70)
+    rows = [(9, " ".join([*line, *words(30), *passage, *words(60)])), (1, " ".join([*words(80), *line, *words(80)])), (10, " ".join([*words(60), *passage]))]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["start_word"], r["n_words"]) for r in got) == [(9, 46, 70), (10, 60, 70)]
