@@ -684,3 +684,14 @@ def test_runs_near_the_start_of_a_text_are_all_kept(spark):
     rows = [(9, " ".join([*line, *words(30), *passage, *words(60)])), (1, " ".join([*words(80), *line, *words(80)])), (10, " ".join([*words(60), *passage]))]
     got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["start_word"], r["n_words"]) for r in got) == [(9, 46, 70), (10, 60, 70)]
+
+
+def test_block_pairs_leave_out_buckets_of_one_component(spark):
+    """Without a join beforehand that keeps the members of mixed buckets."""
+    rows = [(1, 9, i, 50, 100) for i in range(9)] + [(2, 9, i, 50, 100 + (i == 4)) for i in range(9)]
+    member = spark.createDataFrame(rows, "bucket long, k long, rep long, n_words long, root long")
+    words = spark.createDataFrame([(i, np.arange(50, dtype=np.uint32).tobytes()) for i in range(9)], "rep long, words binary")
+    with Workspace(spark) as work:
+        got = near_duplicates._block_pairs(work, member, words, 3).collect()
+    pairs = {(min(r["rep"], r["a"]), max(r["rep"], r["a"])) for r in got}
+    assert pairs == {(min(i, 4), max(i, 4)) for i in range(9) if i != 4}

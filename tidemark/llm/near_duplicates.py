@@ -395,7 +395,7 @@ def _classes(work: Workspace, docs: DataFrame, small: int, block: int) -> DataFr
             if step == 1:
                 pairs = pairs.unionByName(_all_pairs(_mixed(_with_roots(shared.where(F.col("k").between(3, small)), labels))))
         else:
-            pairs = _block_pairs(work, _mixed(_with_roots(large, labels)), words, block)
+            pairs = _block_pairs(work, _with_roots(large, labels), words, block)  # leaves out buckets of one component itself
         pairs = _canonical(pairs)
         pairs = work.write(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty() and step == 0:
