@@ -695,3 +695,33 @@ def test_block_pairs_leave_out_buckets_of_one_component(spark):
         got = near_duplicates._block_pairs(work, member, words, 3).collect()
     pairs = {(min(r["rep"], r["a"]), max(r["rep"], r["a"])) for r in got}
     assert pairs == {(min(i, 4), max(i, 4)) for i in range(9) if i != 4}
+
+
+def test_documents_that_share_a_line_only_are_not_paired(spark, monkeypatch):
+    """A line of fewer words than a passage, in many documents, makes no pair of them: nothing around it repeats."""
+    rng = random.Random(13)
+    words = lambda n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(n)]
+    line, rows, pairs, across = words(45), [], [], substring_dedup._across
+    for i in range(60):
+        rows.append((i, " ".join([*words(60), *line, *words(60)])))
+
+    def spy(*args):
+        got = across(*args)
+        pairs.append(got.count())
+        return got
+
+    monkeypatch.setattr(substring_dedup, "_across", spy)
+    assert substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+    assert sum(pairs) <= 60
+
+
+def test_blocks_leave_out_pairs_whose_word_pairs_differ():
+    """The same words in another order are no candidates, the same ones with few edits are."""
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2**32, 80)
+    edited = a.copy()
+    edited[[5, 30, 31, 60]] = rng.integers(0, 2**32, 4)
+    texts = [a, edited, rng.permutation(a)]
+    bags = np.stack([near_duplicates.bag(x) for x in texts])
+    i, j = near_duplicates.close_pairs(np.arange(3), np.ones(3, bool), np.full(3, 80), bags, np.zeros((3, 0), bool))
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 1)]

@@ -16,7 +16,7 @@ Work is kept near linear in the rows, for groups of any size:
 - larger buckets that are still of several components compare their members with ``HUBS`` further hubs.  Of what is then
   still of several components, the members outside the largest one meet all others: both sides are dealt to blocks of
   about ``BLOCK`` by hash, and each pair of blocks is a task of its own, whatever the bucket's size.  A pair is left where two
-  bounds that no link exceeds (lengths, and counts of words by hash in ``BINS`` bins) allow it, in the first such bucket that
+  bounds that no link exceeds (lengths, and counts of words and of pairs of words by hash in ``BINS`` bins) allow it, in the first such bucket that
   has both texts; then it is aligned.  So no pair that shares a sketch is left out, and rows grow with members times
   blocks;
 - words travel as 32-bit hashes, and only those of texts in candidate pairs.
@@ -291,8 +291,10 @@ def _all_pairs(member: DataFrame) -> DataFrame:
 
 
 def bag(words: np.ndarray) -> np.ndarray:
-    """Numbers of words by hash, up to 255 each: an edit moves two of them by one at most."""
-    return np.minimum(np.bincount(words & (BINS - 1), minlength=BINS), 255).astype(np.uint8)
+    """Numbers of words by hash, then of pairs of words, up to 255 each: an edit moves two of the first and four of the others
+    by one at most."""
+    two = (words[1:] * 31 + words[:-1]) & (BINS - 1)
+    return np.minimum(np.concatenate([np.bincount(x, minlength=BINS) for x in (words & (BINS - 1), two)]), 255).astype(np.uint8)
 
 
 def _earlier(bucket: int, buckets: list[list[int]]) -> np.ndarray:
@@ -311,7 +313,7 @@ def _earlier(bucket: int, buckets: list[list[int]]) -> np.ndarray:
 def close_pairs(root: np.ndarray, outside: np.ndarray, size: np.ndarray, bags: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a row marked ``outside`` and another one of another component that lengths and bags do not exclude.  Pairs
     that are in an earlier bucket together are left to that one."""
-    fine = bags.astype(np.int16)
+    fine, two = bags[:, :BINS].astype(np.int16), bags[:, BINS:].astype(np.int16)
     coarse = fine.reshape(len(fine), BINS // COARSE, COARSE).sum(1)
     order = np.argsort(size, kind="stable")
     sizes, left, right = size[order], [], []
@@ -319,8 +321,8 @@ def close_pairs(root: np.ndarray, outside: np.ndarray, size: np.ndarray, bags: n
         near = order[np.searchsorted(sizes, SIMILARITY * size[i] - 1e-6) : np.searchsorted(sizes, size[i] / SIMILARITY + 1e-6, "right")]
         near = near[(root[near] != root[i]) & (~outside[near] | (near > i))]
         limit = 2 * np.floor((1 - SIMILARITY) * np.maximum(size[near], size[i]) + 1e-9)
-        for kind in (coarse, fine):
-            ok = np.abs(kind[near] - kind[i]).sum(1) <= limit
+        for kind, times in ((coarse, 1), (fine, 1), (two, 2)):
+            ok = np.abs(kind[near] - kind[i]).sum(1) <= times * limit
             near, limit = near[ok], limit[ok]
         if len(near):
             near = near[~earlier[near][:, earlier[i]].any(1)]
@@ -345,7 +347,7 @@ def _block_pairs(work: Workspace, member: DataFrame, words: DataFrame, block: in
         i = j = np.empty(0, np.int64)
         if outside.any():
             group = group.select(["bucket", "bag", "buckets"]).take(pa.array(rows))
-            bags = np.frombuffer(b"".join(group.column("bag").to_pylist()), np.uint8).reshape(len(rep), BINS)
+            bags = np.frombuffer(b"".join(group.column("bag").to_pylist()), np.uint8).reshape(len(rep), 2 * BINS)
             i, j = close_pairs(root, outside, size, bags, _earlier(group.column("bucket")[0].as_py(), group.column("buckets").to_pylist()))
         return pa.table({"rep": rep[i], "n_words": size[i], "a": rep[j], "na": size[j]})
 
