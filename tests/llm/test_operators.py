@@ -725,3 +725,22 @@ def test_blocks_leave_out_pairs_whose_word_pairs_differ():
     bags = np.stack([near_duplicates.bag(x) for x in texts])
     i, j = near_duplicates.close_pairs(np.arange(3), np.ones(3, bool), np.full(3, 80), bags, np.zeros((3, 0), bool))
     assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 1)]
+
+
+def test_training_looks_inputs_up_once_a_window():
+    """One lookup of a window's inputs, and results as of one window at a time and word by word."""
+    rng = np.random.default_rng(5)
+    model = language_model.Gru(np.array([50.0, 30, 20, 10, 5]), 9.0, hidden=6, classes=3)
+
+    class Counted(np.ndarray):
+        lookups = 0
+
+        def __getitem__(self, at):
+            Counted.lookups += 1
+            return np.asarray(super().__getitem__(at))
+
+    ids, fresh = rng.integers(0, 5, (7, 4)), np.zeros((7, 4), bool)
+    plain = model.train_window(ids, ids, fresh, np.zeros((4, 6), np.float32))
+    model.p["x"] = model.p["x"].view(Counted)
+    counted = model.train_window(ids, ids, fresh, np.zeros((4, 6), np.float32))
+    assert Counted.lookups == 1 and plain[0] == counted[0] and np.array_equal(plain[2], counted[2])

@@ -98,7 +98,10 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+    y = np.negative(x)
+    np.exp(y, out=y)
+    y += 1
+    return np.divide(1, y, out=y)
 
 
 class Gru:
@@ -144,17 +147,21 @@ class Gru:
     def log_prob(self, states: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target id under its state; for words outside, of their class."""
         p, k = self.p, self.class_of(target)
-        a = states @ p["cw"] + p["cb"]
-        out = a[np.arange(len(k)), k] - _logsumexp(a)
-        order = np.argsort(k, kind="stable")
-        bounds = np.searchsorted(k[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            rows = order[bounds[c] : bounds[c + 1]]
-            if len(rows):
-                a, b = self.first[c], self.first[c + 1]
-                if b - a > 1:
-                    y = states[rows] @ p["ww"][:, a:b] + p["wb"][a:b]
-                    out[rows] += y[np.arange(len(rows)), target[rows] - a] - _logsumexp(y)
+        a = states @ p["cw"]
+        a += p["cb"]
+        rows = np.arange(len(k))
+        out = a[rows, k] - _logsumexp(a)
+        # Rows in order of class, so that each class is a slice.
+        order = np.argsort(k.astype(np.int16), kind="stable")
+        bounds = np.searchsorted(k[order], np.arange(self.classes + 1)).tolist()
+        by_class, sorted_target, within = states[order], target[order], np.zeros_like(out)
+        for c, (a, b) in enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True)):
+            lo, hi = bounds[c], bounds[c + 1]
+            if hi > lo and b - a > 1:
+                y = by_class[lo:hi] @ p["ww"][:, a:b]
+                y += p["wb"][a:b]
+                within[lo:hi] = y[rows[: hi - lo], sorted_target[lo:hi] - a] - _logsumexp(y)
+        out[order] += within
         return out
 
     def train_window(self, ids: np.ndarray, targets: np.ndarray, fresh: np.ndarray, state: np.ndarray):
@@ -162,9 +169,10 @@ class Gru:
         of target -1 do not count.  The gradient of the input part is (rows, their gradients): most words are not in a window."""
         p, h, steps = self.p, self.h, len(ids)
         trace, states = [], []
+        keep, x = ~fresh[:, :, None], p["x"][ids] + p["b"]
         for t in range(steps):
-            state = state * ~fresh[t][:, None]
-            new, z, r, rs, c = self.step(p["x"][ids[t]] + p["b"], state)
+            state = state * keep[t]
+            new, z, r, rs, c = self.step(x[t], state)
             trace.append((state, z, r, rs, c))
             states.append(new)
             state = new
@@ -172,53 +180,57 @@ class Gru:
         used = target >= 0
         k, n = self.class_of(target), len(flat)
         rows_all = np.arange(n)
-        g = {name: np.zeros_like(v) for name, v in p.items() if name != "x"}
-        a = flat @ p["cw"] + p["cb"]
-        a -= a.max(1, keepdims=True)
-        e = np.exp(a)
+        g = {name: np.zeros_like(p[name]) for name in ("ww", "wb")}
+        e = flat @ p["cw"]
+        e += p["cb"]
+        e -= e.max(1, keepdims=True)
+        np.exp(e, out=e)
         e /= e.sum(1, keepdims=True)
         loss = -np.log(e[rows_all, k] + 1e-20)[used].sum()
         e[rows_all, k] -= 1
         e[~used] = 0
         g["cw"], g["cb"] = flat.T @ e, e.sum(0)
         dflat = e @ p["cw"].T
-        order = np.argsort(k, kind="stable")
-        bounds = np.searchsorted(k[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            rows = order[bounds[c] : bounds[c + 1]]
-            i, j = self.first[c], self.first[c + 1]
-            if len(rows) and j - i > 1:
-                s = flat[rows]
-                y = s @ p["ww"][:, i:j] + p["wb"][i:j]
+        # Rows in order of class, so that each class is a slice.
+        order = np.argsort(k.astype(np.int16), kind="stable")
+        bounds = np.searchsorted(k[order], np.arange(self.classes + 1)).tolist()
+        by_class, sorted_target, back = flat[order], target[order], np.zeros_like(dflat)
+        for c, (i, j) in enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True)):
+            lo, hi = bounds[c], bounds[c + 1]
+            if hi > lo and j - i > 1:
+                s, w = by_class[lo:hi], p["ww"][:, i:j]
+                y = s @ w
+                y += p["wb"][i:j]
                 y -= y.max(1, keepdims=True)
-                y = np.exp(y)
+                np.exp(y, out=y)
                 y /= y.sum(1, keepdims=True)
-                at = target[rows] - i
-                loss -= np.log(y[np.arange(len(rows)), at] + 1e-20).sum()
-                y[np.arange(len(rows)), at] -= 1
+                at = rows_all[: hi - lo], sorted_target[lo:hi] - i
+                loss -= np.log(y[at] + 1e-20).sum()
+                y[at] -= 1
                 g["ww"][:, i:j], g["wb"][i:j] = s.T @ y, y.sum(0)
-                dflat[rows] += y @ p["ww"][:, i:j].T
+                back[lo:hi] = y @ w.T
+        dflat[order] += back
         ds = dflat.reshape(steps, -1, h)
         carry = np.zeros_like(state)
-        u, inputs = p["u"], []
+        u_zr, u_c = np.ascontiguousarray(p["u"][:, : 2 * h].T), np.ascontiguousarray(p["u"][:, 2 * h :].T)
+        d_in = np.empty((steps, len(carry), 3 * h), flat.dtype)
         for t in range(steps - 1, -1, -1):
             before, z, r, rs, c = trace[t]
             d = ds[t] + carry
-            dc = d * z * (1 - c * c)
-            drs = dc @ u[:, 2 * h :].T
-            dz = d * (c - before) * z * (1 - z)
-            dr = drs * before * r * (1 - r)
-            dzr = np.concatenate([dz, dr], 1)
-            g["u"][:, : 2 * h] += before.T @ dzr
-            g["u"][:, 2 * h :] += rs.T @ dc
-            dx = np.concatenate([dzr, dc], 1)
-            inputs.append(dx)
-            g["b"] += dx.sum(0)
-            carry = (d * (1 - z) + drs * r + dzr @ u[:, : 2 * h].T) * ~fresh[t][:, None]
-        word = ids[::-1].reshape(-1)
-        order = np.argsort(word, kind="stable")
+            dx = d_in[t]
+            dc = np.multiply(d * z, 1 - c * c, out=dx[:, 2 * h :])
+            drs = dc @ u_c
+            np.multiply(d * (c - before), z * (1 - z), out=dx[:, :h])
+            np.multiply(drs * before, r * (1 - r), out=dx[:, h : 2 * h])
+            carry = (d * (1 - z) + drs * r + dx[:, : 2 * h] @ u_zr) * keep[t]
+        inputs = d_in.reshape(-1, 3 * h)
+        befores, resets = (np.concatenate([x[i] for x in trace]) for i in (0, 3))
+        g["u"] = np.concatenate([befores.T @ inputs[:, : 2 * h], resets.T @ inputs[:, 2 * h :]], 1)
+        g["b"] = inputs.sum(0)
+        word = ids.reshape(-1)
+        order = np.argsort(word.astype(np.int16) if len(p["x"]) < 1 << 15 else word, kind="stable")
         first = np.flatnonzero(np.append(True, word[order][1:] != word[order][:-1]))
-        g["x"] = word[order][first], np.add.reduceat(np.concatenate(inputs)[order], first, axis=0)
+        g["x"] = word[order][first], np.add.reduceat(inputs[order], first, axis=0)
         return loss, g, state
 
     def score(self, texts: list[np.ndarray], end: int) -> np.ndarray:
@@ -276,14 +288,24 @@ class Trainer:
                 d = np.clip(d / n, -0.1, 0.1)
                 m, v = self.m[k][rows], self.v[k][rows]
                 m += 0.1 * (d - m)
-                v += 0.003 * (d * d - v)
-                self.m[k][rows], self.v[k][rows] = m, v
-                x[rows] -= self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.997**self.step)) + 1e-7)
+                d *= d
+                d -= v
+                d *= 0.003
+                v += d
+                if k == "x":  # the others are views
+                    self.m[k][rows], self.v[k][rows] = m, v
+                np.multiply(v, 1 / (1 - 0.997**self.step), out=d)
+                np.sqrt(d, out=d)
+                d += 1e-7
+                np.divide(m, d, out=d)
+                d *= self.rate / (1 - 0.9**self.step)
+                x[rows] -= d
 
 
 def _logsumexp(a: np.ndarray) -> np.ndarray:
     top = a.max(1)
-    return top + np.log(np.exp(a - top[:, None]).sum(1))
+    e = a - top[:, None]
+    return top + np.log(np.exp(e, out=e).sum(1))
 
 
 def side_by_side(texts: list[np.ndarray], end: int, slots: int, before: list[int] | None = None):
